@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickguard.functions import moments as M
 from tickguard.functions.scalars import is_number, volatility_ratio
 from tickguard.operators.windows import (
-    merged_stats, pane_summaries, shifted, sliding_stats, spread_over_windows)
+    merged_stats, pane_summaries, sliding_stats, whole, window_parts, with_window_end)
 from tickguard.params import VolatilityRule, WindowSpec
 
 COLUMNS = ["window_start", "window_end", "symbol", "count_trades",
@@ -43,14 +42,12 @@ def revised_stats(trades: DataFrame, spec: WindowSpec, batch_s: int) -> DataFram
     """
     if spec.panes is None or batch_s % spec.slide_s:
         raise ValueError("the batch and the window must be whole numbers of slides")
-    batch = F.floor(F.unix_seconds("pane") / F.lit(batch_s))
+    batch = whole(F.col("slot"), batch_s // spec.slide_s)
     panes = pane_summaries(trades, spec).withColumn("batch_id", batch)
     revisions = (
-        spread_over_windows(panes, spec)
-        .groupBy("symbol", "window_start")
-        .agg(F.sort_array(F.collect_list(F.struct("pane", "batch_id", *M.FIELDS))).alias("all"))
+        window_parts(panes, spec).withColumnRenamed("parts", "all")
         .withColumn("batch_id", F.explode(F.array_distinct(F.col("all.batch_id"))))
         .withColumn("parts", F.filter("all", lambda x: x["batch_id"] <= F.col("batch_id")))
     )
     stats = merged_stats(revisions, "parts", "batch_id", "symbol", "window_start")
-    return stats.withColumn("window_end", shifted(F.col("window_start"), spec.length_s))
+    return with_window_end(stats, spec)

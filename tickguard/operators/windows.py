@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec as WindowFrame
 
 from tickguard.functions import moments as M
 from tickguard.functions.scalars import number
@@ -12,34 +13,67 @@ from tickguard.params import MICROS, WindowSpec
 STATS = ["window_start", "window_end", "symbol", "mean_price", "stddev_price", "count_trades"]
 
 
-def shifted(moment: Column, seconds: Column | int) -> Column:
-    offset = (F.lit(seconds) if isinstance(seconds, int) else seconds).cast("long")
-    return F.timestamp_micros(F.unix_micros(moment) + offset * F.lit(MICROS))
+def slot_of(time: Column, slide_s: int) -> Column:
+    """Number of the slide-long pane that holds ``time``, counted from the epoch."""
+    return whole(F.unix_micros(time), slide_s * MICROS)
 
 
-def pane_start(time: Column, slide_s: int) -> Column:
-    width = slide_s * MICROS
-    micros = F.unix_micros(time)
-    return F.timestamp_micros(micros - F.pmod(micros, F.lit(width)))
+def whole(number: Column, unit: int) -> Column:
+    """Floor division of a long column, exact below the epoch too."""
+    return ((number - F.pmod(number, F.lit(unit))) / F.lit(unit)).cast("long")
 
 
-def pane_summaries(trades: DataFrame, spec: WindowSpec, *extra: str) -> DataFrame:
-    """One summary per (symbol, pane), a pane being one slide long.
+def slot_start(slot: Column, slide_s: int) -> Column:
+    return F.timestamp_seconds(slot * F.lit(slide_s))
+
+
+def pane_summaries(trades: DataFrame, spec: WindowSpec) -> DataFrame:
+    """One summary per (symbol, slot).
 
     Trades without an event time belong to no window.
     """
     return (
         trades.filter(F.col("event_time").isNotNull())
-        .groupBy("symbol", pane_start(F.col("event_time"), spec.slide_s).alias("pane"), *extra)
+        .groupBy("symbol", slot_of(F.col("event_time"), spec.slide_s).alias("slot"))
         .agg(*M.summarize(number(F.col("price"))))
     )
 
 
-def spread_over_windows(panes: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Repeat each pane once per window that covers it."""
-    back = F.explode(F.sequence(F.lit(0), F.lit(spec.panes - 1))).alias("back")
-    return panes.select("*", back).withColumn(
-        "window_start", shifted(F.col("pane"), -F.col("back") * spec.slide_s)).drop("back")
+def beside_neighbours(panes: DataFrame, spec: WindowSpec) -> tuple[DataFrame, WindowFrame]:
+    """Lay panes out in blocks of time, each with a margin of one window on both sides.
+
+    A symbol's panes are cut into many groups of bounded size, so a symbol with
+    a long history is not one task's work. Only a few panes per block are copied.
+    """
+    reach = spec.panes - 1
+    block = max(16, 10 * spec.panes)
+    homes = F.array_distinct(F.array(*[
+        whole(F.col("slot") + shift, block) for shift in (-reach, 0, reach)]))
+    laid_out = panes.withColumn("home", F.explode(homes)).withColumn(
+        "own", whole(F.col("slot"), block) == F.col("home"))
+    return laid_out, Window.partitionBy("symbol", "home").orderBy("slot")
+
+
+def window_parts(panes: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Every (symbol, window) that holds a pane, with its panes as an array.
+
+    A window is built at the first pane it holds: those are the windows that
+    start after the symbol's previous pane.
+    """
+    reach = spec.panes - 1
+    rows, near = beside_neighbours(panes, spec)
+    fields = [c for c in panes.columns if c != "symbol"]
+    earliest = F.col("slot") - reach
+    return (
+        rows.withColumns({
+            "before": F.lag("slot").over(near),
+            "ahead": F.collect_list(F.struct(*fields)).over(near.rangeBetween(0, reach))})
+        .filter("own")
+        .withColumn("start", F.explode(F.sequence(
+            F.greatest(earliest, F.coalesce(F.col("before") + 1, earliest)), F.col("slot"))))
+        .select("symbol", slot_start(F.col("start"), spec.slide_s).alias("window_start"),
+                F.filter("ahead", lambda x: x["slot"] <= F.col("start") + reach).alias("parts"))
+    )
 
 
 def merged_stats(df: DataFrame, parts: str, *keep: str) -> DataFrame:
@@ -58,21 +92,22 @@ def merged_stats(df: DataFrame, parts: str, *keep: str) -> DataFrame:
 def sliding_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
     """Mean, sample stddev and count per (window, symbol).
 
-    Tables are summarized per pane first: the only shuffle that grows with the
-    trades carries one partial row per task, symbol and pane instead of one per
-    window, and the panes (at most length / slide per window) are merged after.
-    Streams, and slides that do not divide the window, use Spark's own windows.
+    Tables are summarized per pane first: the shuffle that grows with the trades
+    carries one partial row per task, symbol and pane instead of one per window,
+    and the panes then move once more, nearly uncopied, to be merged into
+    windows. Streams, and slides that do not divide the window, use Spark's own
+    windows.
     """
-    if trades.isStreaming or spec.panes is None:
+    if trades.isStreaming or spec.panes in (None, 1):
         return direct_sliding_stats(trades, spec)
-    parts = (
-        spread_over_windows(pane_summaries(trades, spec), spec)
-        .groupBy("symbol", "window_start")
-        .agg(F.sort_array(F.collect_list(F.struct("pane", *M.FIELDS))).alias("parts"))
-    )
-    stats = merged_stats(parts, "parts", "symbol", "window_start")
-    return stats.withColumn(
-        "window_end", shifted(F.col("window_start"), spec.length_s)).select(*STATS)
+    stats = merged_stats(
+        window_parts(pane_summaries(trades, spec), spec), "parts", "symbol", "window_start")
+    return with_window_end(stats, spec).select(*STATS)
+
+
+def with_window_end(df: DataFrame, spec: WindowSpec) -> DataFrame:
+    return df.withColumn("window_end", F.timestamp_micros(
+        F.unix_micros("window_start") + F.lit(spec.length_s * MICROS)))
 
 
 def windowed_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -91,22 +126,38 @@ def direct_sliding_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
 
 
 def windows_per_pane(trades: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Per (symbol, pane): the statistics of the windows that cover it, as an array.
+    """Per (symbol, slot): the statistics of the windows that cover it, as an array.
 
-    ``pane_trades`` counts the trades of the pane itself; panes without any are dropped.
+    ``pane_trades`` counts the trades of the pane itself.
     """
-    stats = sliding_stats(trades, spec)
-    ahead = F.explode(F.sequence(F.lit(0), F.lit(spec.panes - 1))).alias("ahead")
-    own = pane_summaries(trades, spec).select("symbol", "pane", F.col("n").alias("pane_trades"))
-    around = stats.select(
-        "symbol", ahead, F.struct(
-            "window_start", "window_end", "mean_price", "stddev_price", "count_trades").alias("w"),
-    ).select("symbol", "w", shifted(
-        F.col("w.window_start"), F.col("ahead") * spec.slide_s).alias("pane"))
-    both = around.unionByName(own, allowMissingColumns=True)
+    reach = spec.panes - 1
+    rows, near = beside_neighbours(pane_summaries(trades, spec), spec)
+    around = F.collect_list(F.struct("slot", *M.FIELDS)).over(near.rangeBetween(-reach, reach))
+
+    def in_window(start):
+        return F.filter("around", lambda x: x["slot"].between(start, start + reach))
+
+    def with_n(start):
+        parts = in_window(start)
+        return F.struct(start.alias("start"), parts.alias("parts"),
+                        M.merged_count(parts).alias("n"))
+
+    def with_mean(w):
+        return F.struct(w["start"].alias("start"), w["parts"].alias("parts"), w["n"].alias("n"),
+                        M.merged_mean(w["parts"], w["n"]).alias("mean"))
+
+    def window_stats(w):
+        start = slot_start(w["start"], spec.slide_s)
+        end = slot_start(w["start"] + spec.panes, spec.slide_s)
+        stddev = M.sample_stddev(
+            w["n"], M.merged_m2(w["parts"], w["mean"]),
+            M.merged_low(w["parts"]), M.merged_high(w["parts"]))
+        return F.struct(
+            start.alias("window_start"), end.alias("window_end"), w["mean"].alias("mean_price"),
+            stddev.alias("stddev_price"), w["n"].alias("count_trades"))
+
+    starts = F.sequence(F.col("slot") - reach, F.col("slot"))
+    windows = F.transform(F.transform(F.transform(starts, with_n), with_mean), window_stats)
     return (
-        both.groupBy("symbol", "pane")
-        .agg(F.max("pane_trades").alias("pane_trades"),
-             F.sort_array(F.collect_list("w")).alias("windows"))
-        .filter(F.col("pane_trades") > 0)
-    )
+        rows.withColumn("around", around).filter("own").filter(F.col("n") > 0)
+        .select("symbol", "slot", F.col("n").alias("pane_trades"), windows.alias("windows")))

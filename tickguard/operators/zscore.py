@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickguard.functions.scalars import is_number, number, z_score
 from tickguard.operators.attach import attach
-from tickguard.operators.windows import pane_start, windows_per_pane
+from tickguard.operators.windows import slot_of, windows_per_pane
 from tickguard.params import WindowSpec, ZScoreRule
 
 COLUMNS = ["event_time", "symbol", "price", "volume",
@@ -74,7 +74,7 @@ def sliding_zscores(
     facts = (
         trades.filter(F.col("event_time").isNotNull())
         .withColumn("price", number(F.col("price")))
-        .withColumn("pane", pane_start(F.col("event_time"), spec.slide_s))
+        .withColumn("slot", slot_of(F.col("event_time"), spec.slide_s))
     )
 
     def alerts(w):
@@ -82,7 +82,7 @@ def sliding_zscores(
         return ((w["count_trades"] >= rule.min_trades) & (w["stddev_price"] > 0)
                 & (F.abs(z) > rule.threshold))
 
-    joined = attach(facts, panes, ["symbol", "pane"], "pane_trades", **sizes)
+    joined = attach(facts, panes, ["symbol", "slot"], "pane_trades", **sizes)
     hits = joined.withColumn("windows", F.filter("windows", alerts)).filter(F.size("windows") > 0)
-    own = [c for c in facts.columns if c != "pane"]
+    own = [c for c in facts.columns if c != "slot"]
     return scored(hits.select(*own, F.inline("windows")))
