@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tickguard.session import settle
 
-BROADCAST_ROWS = 50_000
+# Rows of a group table are a symbol, a time and a few numbers: about 30 MB of them.
+BROADCAST_ROWS = 300_000
 HOT_ROWS = 2_000_000
 MAX_HOT_GROUPS = 10_000
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickguard.functions.scalars import is_number, number, z_score
-from tickguard.operators.attach import attach
+from tickguard.operators.attach import BROADCAST_ROWS, attach
 from tickguard.operators.windows import slot_of, windows_per_pane
 from tickguard.params import WindowSpec, ZScoreRule
 
@@ -66,23 +66,32 @@ def sliding_zscores(
 
     The trade meets its pane once, and the pane carries the statistics of its
     windows (length / slide of them), so the trades are not multiplied before
-    the join; only windows in which the trade alerts are unfolded.
+    the join. The pane also carries the tightest band of those windows: a trade
+    inside it alerts nowhere, and only the others look at the windows one by one.
     """
     if spec.panes is None:
         raise ValueError("the window must be a whole number of slides")
-    panes = windows_per_pane(trades, spec).filter(F.col("symbol").isNotNull())
+
+    def edge(w, side):
+        # Widened towards the mean by more than rounding can amount to, so that the
+        # band never hides an alert; the exact test follows.
+        reach = rule.threshold * (1 - 1e-9) * w["stddev_price"] - F.abs(w["mean_price"]) * 1e-12
+        return w["mean_price"] + side * reach
+
+    fit = F.filter("windows", lambda w: (
+        (w["count_trades"] >= rule.min_trades) & (w["stddev_price"] > 0)))
+    panes = (
+        windows_per_pane(trades, spec).filter(F.col("symbol").isNotNull())
+        .withColumn("windows", fit).filter(F.size("windows") > 0)
+        .withColumns({
+            "top": F.array_min(F.transform("windows", lambda w: edge(w, 1))),
+            "bottom": F.array_max(F.transform("windows", lambda w: edge(w, -1)))}))
     facts = (
         trades.filter(F.col("event_time").isNotNull())
         .withColumn("price", number(F.col("price")))
-        .withColumn("slot", slot_of(F.col("event_time"), spec.slide_s))
-    )
-
-    def alerts(w):
-        z = z_score(F.col("price"), w["mean_price"], w["stddev_price"])
-        return ((w["count_trades"] >= rule.min_trades) & (w["stddev_price"] > 0)
-                & (F.abs(z) > rule.threshold))
-
-    joined = attach(facts, panes, ["symbol", "slot"], "pane_trades", **sizes)
-    hits = joined.withColumn("windows", F.filter("windows", alerts)).filter(F.size("windows") > 0)
+        .withColumn("slot", slot_of(F.col("event_time"), spec.slide_s)))
+    sizes.setdefault("broadcast_rows", BROADCAST_ROWS // spec.panes)
+    joined = attach(facts, panes, ["symbol", "slot"], "pane_trades", **sizes).filter(
+        (F.col("price") > F.col("top")) | (F.col("price") < F.col("bottom")))
     own = [c for c in facts.columns if c != "slot"]
-    return scored(hits.select(*own, F.inline("windows")))
+    return outliers(scored(joined.select(*own, F.inline("windows"))), rule)

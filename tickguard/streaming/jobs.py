@@ -11,7 +11,7 @@ from tickguard.functions.scalars import number
 from tickguard.operators import volatility as V
 from tickguard.operators import zscore as Z
 from tickguard.operators.windows import direct_sliding_stats, windowed_stats
-from tickguard.params import VolatilityRule, WindowSpec, ZScoreRule
+from tickguard.params import MICROS, VolatilityRule, WindowSpec, ZScoreRule
 from tickguard.streaming.sinks import observed, write_alerts, write_summary
 
 
@@ -64,21 +64,38 @@ def sliding_zscore_stream(
 ) -> DataFrame:
     """Trades joined to the statistics of their closed sliding windows, as a stream.
 
-    Append mode: a window's alerts appear once, when the watermark closes it.
-    Trades are dealt over ``salts`` and each window's row is repeated for each of
-    them, so the state of one busy (window, symbol) is shared by several tasks.
+    Append mode: a window's alerts appear once, when the watermark closes it. A
+    trade waits in state once, under the last window that holds it; the row of a
+    closed window is repeated for each slide it covers, which is how it meets the
+    trades of all of them. Trades are also dealt over ``salts``, so the state of
+    one busy symbol is shared by several tasks.
     """
+    if spec.panes is None:
+        raise ValueError("the window must be a whole number of slides")
     timed = trades.withWatermark("event_time", spec.lateness)
-    stats = Z.usable(windowed_stats(timed, spec), rule).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    at = F.unix_micros("event_time")
     facts = timed.select(
         F.window("event_time", spec.length, spec.slide).alias("window"),
-        "symbol", number(F.col("price")).alias("price"), "volume",
-        F.unix_micros("event_time").alias("at"), *keep,
-        F.floor(F.rand(0) * salts).cast("int").alias("salt"))
+        "symbol", number(F.col("price")).alias("price"), "volume", at.alias("at"), *keep,
+        F.floor(F.rand(0) * salts).cast("int").alias("salt"),
+    ).filter(F.unix_micros("window.start") + spec.slide_s * MICROS > F.col("at"))
+
+    def later(moment, slides):
+        return F.timestamp_micros(
+            F.unix_micros(moment) + slides * F.lit(spec.slide_s * MICROS).cast("long"))
+
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(spec.panes - 1))).alias("ahead")
+    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    stats = (
+        Z.usable(windowed_stats(timed, spec), rule)
+        .withColumnRenamed("window", "closed")
+        .select("*", ahead).select("*", salt)
+        .withColumn("window", F.struct(later("closed.start", F.col("ahead")).alias("start"),
+                                       later("closed.end", F.col("ahead")).alias("end"))))
     joined = facts.join(stats, ["window", "symbol", "salt"])
     return Z.outliers(Z.scored(joined), rule).select(
         *keep, F.timestamp_micros("at").alias("event_time"), "symbol", "price", "volume",
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        F.col("closed.start").alias("window_start"), F.col("closed.end").alias("window_end"),
         "mean_price", "stddev_price", "count_trades", "z_score")
 
 
