@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickguard.params import MICROS
+
 
 def number(col: Column) -> Column:
     """NaN counts as missing, so it neither joins a mean nor passes a threshold."""
@@ -34,7 +36,8 @@ def band_edge(mean: Column, stddev: Column, sigmas: float) -> Column:
 
 def age_text(now: Column, latest: Column) -> Column:
     """Age as whole seconds below a minute, whole minutes below an hour, else whole hours."""
-    seconds = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(latest.cast("timestamp"))
+    micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(latest.cast("timestamp"))
+    seconds = (micros / F.lit(MICROS)).cast("long")
     text = (
         F.when(seconds < 60, F.format_string("%ds", seconds))
         .when(seconds < 3600, F.format_string("%dmin", F.floor(seconds / 60)))

@@ -31,12 +31,11 @@ def outliers(df: DataFrame, rule: ZScoreRule) -> DataFrame:
 
 
 def batch_stats(trades: DataFrame, keys: list[str]) -> DataFrame:
-    price = number(F.col("price"))
     return trades.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("group_trades"),
-        F.avg(price).alias("mean_price"),
-        F.stddev_samp(price).alias("stddev_price"),
-        F.count(price).alias("count_trades"))
+        F.avg("price").alias("mean_price"),
+        F.stddev_samp("price").alias("stddev_price"),
+        F.count("price").alias("count_trades"))
 
 
 def score_batch(
@@ -49,6 +48,7 @@ def score_batch(
     the trades by ``attach``; no task ever holds all trades of a symbol.
     """
     keys = ["symbol"] if batch is None else [batch, "symbol"]
+    trades = trades.withColumn("price", number(F.col("price")))
     stats = usable(batch_stats(trades, keys), rule)
     return scored(attach(trades, stats, keys, "group_trades", **sizes).drop("group_trades"))
 

@@ -18,7 +18,7 @@ from tickguard.operators.windows import sliding_stats
 from tickguard.params import FeedRate, VolatilityRule, WindowSpec, ZScoreRule
 from tickguard.plans import reports
 from tickguard.schema import VOLATILITY_ALERT, ZSCORE_ALERT
-from tickguard.session import fresh_dir, stream_session
+from tickguard.session import fresh_dir, settle, stream_session
 from tickguard.sources import alerts as alert_files
 from tickguard.sources import trades as feed
 from tickguard.sources.tables import events_as_trades, stream_events_as_trades
@@ -334,8 +334,8 @@ def alert_count_by_symbol(spark, sf):
 
 @query
 def alert_box_stats(spark, sf):
-    return reports.box_statistics(
-        volatility.volatility_alerts(events_as_trades(spark, sf), SPEC, RULE))
+    return reports.box_statistics(settle(
+        volatility.volatility_alerts(events_as_trades(spark, sf), SPEC, RULE)))
 
 
 @query
@@ -346,7 +346,7 @@ def price_box_stats(spark, sf):
 
 @query
 def alert_histogram(spark, sf):
-    return reports.histogram(_z(spark, sf, batch="day"))
+    return reports.histogram(settle(_z(spark, sf, batch="day")))
 
 
 @query

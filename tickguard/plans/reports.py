@@ -81,7 +81,8 @@ def count_by_symbol(alerts: DataFrame) -> DataFrame:
 def histogram(alerts: DataFrame, value: str = "z_score", bins: int = 30) -> DataFrame:
     """Counts per symbol in ``bins`` equal bins over the whole range, the top edge included.
 
-    The range is a scalar subquery, not a join.
+    The range is a scalar subquery, not a join. The alerts are read twice, so
+    settle them first when they are dear to compute.
     """
     known = alerts.filter(is_number(F.col(value)))
     ends = known.agg(F.min(value).alias("low"), F.max(value).alias("high"))
@@ -100,7 +101,10 @@ def histogram(alerts: DataFrame, value: str = "z_score", bins: int = 30) -> Data
 
 
 def box_statistics(alerts: DataFrame, value: str = RATIO, **sizes) -> DataFrame:
-    """Quartiles, the furthest values within 1.5 interquartile ranges, and the outliers' count."""
+    """Quartiles, the furthest values within 1.5 interquartile ranges, and the outliers' count.
+
+    The alerts are read four times, so settle them first when they are dear to compute.
+    """
     quartiles = exact_quantiles(
         alerts, "symbol", value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, **sizes)
     facts = (alerts.select("symbol", F.col(value).alias("x"))

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickguard.functions.scalars import event_time, number, utf8_text
+from tickguard.operators.attach import BROADCAST_ROWS, attach
 from tickguard.params import FeedRate
 from tickguard.schema import CORRUPT, ENVELOPE, RAW_TRADE, RAW_TRADE_LINE
+from tickguard.session import settle
 
 # The symbols the feed subscribes to, by sector.
 WATCHED_SYMBOLS = {
@@ -28,17 +30,24 @@ def watch_list(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "symbol string, sector string")
 
 
-def watched(trades: DataFrame, watch: DataFrame | list[str] | None = None) -> DataFrame:
+def watched(trades: DataFrame, watch: DataFrame | list[str] | None = None, **sizes) -> DataFrame:
     """Only trades of watched symbols.
 
-    A list becomes an IN predicate that reaches the scan; a table becomes a
-    semi-join, broadcast only when Spark knows it to be small.
+    A list becomes an IN predicate that reaches the scan. A table is settled and
+    counted: a short one is broadcast, a long one goes through ``attach``, which
+    splits busy symbols.
     """
     if watch is None:
         watch = [symbol for listed in WATCHED_SYMBOLS.values() for symbol in listed]
-    if isinstance(watch, DataFrame):
-        return trades.join(watch.select("symbol"), "symbol", "left_semi").select(*trades.columns)
-    return trades.filter(F.col("symbol").isin(list(watch)))
+    if not isinstance(watch, DataFrame):
+        return trades.filter(F.col("symbol").isin(list(watch)))
+    listed = settle(watch.select("symbol").distinct(), "watch")
+    if listed.count() <= sizes.get("broadcast_rows", BROADCAST_ROWS):
+        kept = trades.join(F.broadcast(listed), "symbol", "left_semi")
+    else:
+        seen = trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("_seen"))
+        kept = attach(trades, seen.join(listed, "symbol"), ["symbol"], "_seen", **sizes)
+    return kept.select(*trades.columns)
 
 
 def _line_options(reader):

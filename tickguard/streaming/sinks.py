@@ -77,16 +77,24 @@ def keyed_messages(trades: DataFrame) -> DataFrame:
 
 
 def in_symbol_order(trades: DataFrame, *ties: str) -> DataFrame:
-    """Trades laid out so that each symbol is in time order.
+    """Trades laid out so that each symbol is in time order, from partition to partition.
 
     Partitions are ranges of (symbol, time): one symbol may fill several of
-    them, in order, so a busy symbol does not end up in a single task.
+    them, in order, so a busy symbol does not end up in a single task. Equal
+    trades are told apart by a seeded random number, so they may be split too.
     """
-    return (trades.repartitionByRange("symbol", "event_time", *ties)
-            .sortWithinPartitions("symbol", "event_time", *ties))
+    order = ["symbol", "event_time", *ties]
+    return (trades.withColumn("_turn", F.rand(0))
+            .repartitionByRange(*order, "_turn")
+            .sortWithinPartitions(*order).drop("_turn"))
 
 
 def publish(trades: DataFrame, servers: str, topic: str) -> None:
-    """Send keyed messages; needs Spark's Kafka package on the cluster."""
+    """Send keyed messages; needs Spark's Kafka package on the cluster.
+
+    The key sends a symbol's messages to one partition of the topic. Messages
+    of one task arrive in order; those of different tasks may interleave, so
+    readers order by event time, as the detectors do.
+    """
     (keyed_messages(trades).write.format("kafka")
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
