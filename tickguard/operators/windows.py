@@ -55,7 +55,7 @@ def beside_neighbours(panes: DataFrame, spec: WindowSpec) -> tuple[DataFrame, Wi
 
 
 def window_parts(panes: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Every (symbol, window) that holds a pane, with its panes as an array.
+    """Every window that holds a pane, as an array ``groups`` of (start, parts).
 
     A window is built at the first pane it holds: those are the windows that
     start after the symbol's previous pane.
@@ -64,29 +64,44 @@ def window_parts(panes: DataFrame, spec: WindowSpec) -> DataFrame:
     rows, near = beside_neighbours(panes, spec)
     fields = [c for c in panes.columns if c != "symbol"]
     earliest = F.col("slot") - reach
+    starts = F.sequence(
+        F.greatest(earliest, F.coalesce(F.col("before") + 1, earliest)), F.col("slot"))
     return (
         rows.withColumns({
             "before": F.lag("slot").over(near),
             "ahead": F.collect_list(F.struct(*fields)).over(near.rangeBetween(0, reach))})
         .filter("own")
-        .withColumn("start", F.explode(F.sequence(
-            F.greatest(earliest, F.coalesce(F.col("before") + 1, earliest)), F.col("slot"))))
-        .select("symbol", slot_start(F.col("start"), spec.slide_s).alias("window_start"),
-                F.filter("ahead", lambda x: x["slot"] <= F.col("start") + reach).alias("parts"))
+        .select("symbol", F.transform(starts, lambda start: F.struct(
+            start.alias("start"),
+            F.filter("ahead", lambda x: x["slot"] <= start + reach).alias("parts"),
+        )).alias("groups"))
     )
 
 
-def merged_stats(df: DataFrame, parts: str, *keep: str) -> DataFrame:
-    """Statistics of an array of pane summaries, merged in pane order."""
-    col = F.col(parts)
-    return (
-        df.withColumn("count_trades", M.merged_count(col))
-        .withColumn("mean_price", M.merged_mean(col, F.col("count_trades")))
-        .withColumn("stddev_price", M.sample_stddev(
-            F.col("count_trades"), M.merged_m2(col, F.col("mean_price")),
-            M.merged_low(col), M.merged_high(col)))
-        .select(*keep, "mean_price", "stddev_price", "count_trades")
-    )
+def stats_of(groups: Column, *keys: str) -> Column:
+    """Statistics of every group of pane summaries: array of (keys, parts) in, (keys, stats) out.
+
+    Use it under ``inline``: filters on the statistics then read the finished
+    values, where on a plain projection they would repeat the merge.
+    """
+    def kept(g):
+        return [g[k].alias(k) for k in keys]
+
+    def counted(g):
+        return F.struct(*kept(g), g["parts"].alias("parts"),
+                        M.merged_count(g["parts"]).alias("n"))
+
+    def averaged(g):
+        return F.struct(*kept(g), g["parts"].alias("parts"), g["n"].alias("n"),
+                        M.merged_mean(g["parts"], g["n"]).alias("mean"))
+
+    def finished(g):
+        stddev = M.sample_stddev(g["n"], M.merged_m2(g["parts"], g["mean"]),
+                                 M.merged_low(g["parts"]), M.merged_high(g["parts"]))
+        return F.struct(*kept(g), g["mean"].alias("mean_price"),
+                        stddev.alias("stddev_price"), g["n"].alias("count_trades"))
+
+    return F.transform(F.transform(F.transform(groups, counted), averaged), finished)
 
 
 def sliding_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -100,14 +115,14 @@ def sliding_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
     """
     if trades.isStreaming or spec.panes in (None, 1):
         return direct_sliding_stats(trades, spec)
-    stats = merged_stats(
-        window_parts(pane_summaries(trades, spec), spec), "parts", "symbol", "window_start")
-    return with_window_end(stats, spec).select(*STATS)
+    windows = window_parts(pane_summaries(trades, spec), spec)
+    stats = windows.select("symbol", F.inline(stats_of(F.col("groups"), "start")))
+    return stats.select(*window_bounds(F.col("start"), spec), *STATS[2:])
 
 
-def with_window_end(df: DataFrame, spec: WindowSpec) -> DataFrame:
-    return df.withColumn("window_end", F.timestamp_micros(
-        F.unix_micros("window_start") + F.lit(spec.length_s * MICROS)))
+def window_bounds(start: Column, spec: WindowSpec) -> list[Column]:
+    return [slot_start(start, spec.slide_s).alias("window_start"),
+            slot_start(start + spec.panes, spec.slide_s).alias("window_end")]
 
 
 def windowed_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -133,31 +148,14 @@ def windows_per_pane(trades: DataFrame, spec: WindowSpec) -> DataFrame:
     reach = spec.panes - 1
     rows, near = beside_neighbours(pane_summaries(trades, spec), spec)
     around = F.collect_list(F.struct("slot", *M.FIELDS)).over(near.rangeBetween(-reach, reach))
-
-    def in_window(start):
-        return F.filter("around", lambda x: x["slot"].between(start, start + reach))
-
-    def with_n(start):
-        parts = in_window(start)
-        return F.struct(start.alias("start"), parts.alias("parts"),
-                        M.merged_count(parts).alias("n"))
-
-    def with_mean(w):
-        return F.struct(w["start"].alias("start"), w["parts"].alias("parts"), w["n"].alias("n"),
-                        M.merged_mean(w["parts"], w["n"]).alias("mean"))
-
-    def window_stats(w):
-        start = slot_start(w["start"], spec.slide_s)
-        end = slot_start(w["start"] + spec.panes, spec.slide_s)
-        stddev = M.sample_stddev(
-            w["n"], M.merged_m2(w["parts"], w["mean"]),
-            M.merged_low(w["parts"]), M.merged_high(w["parts"]))
-        return F.struct(
-            start.alias("window_start"), end.alias("window_end"), w["mean"].alias("mean_price"),
-            stddev.alias("stddev_price"), w["n"].alias("count_trades"))
-
     starts = F.sequence(F.col("slot") - reach, F.col("slot"))
-    windows = F.transform(F.transform(F.transform(starts, with_n), with_mean), window_stats)
+    groups = F.transform(starts, lambda start: F.struct(
+        start.alias("start"),
+        F.filter("around", lambda x: x["slot"].between(start, start + reach)).alias("parts")))
+    windows = F.transform(stats_of(groups, "start"), lambda w: F.struct(
+        *window_bounds(w["start"], spec), *[w[c].alias(c) for c in STATS[3:]]))
     return (
         rows.withColumn("around", around).filter("own").filter(F.col("n") > 0)
-        .select("symbol", "slot", F.col("n").alias("pane_trades"), windows.alias("windows")))
+        .select("symbol", "slot", F.col("n").alias("pane_trades"),
+                F.inline(F.array(F.struct(windows.alias("windows")))))
+    )

@@ -18,6 +18,7 @@ def build_session(app: str = "tickguard", master: str | None = None, **settings)
     """
     conf = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":

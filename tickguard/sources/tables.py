@@ -19,7 +19,7 @@ def _as_trades(events: DataFrame, symbol: Column) -> DataFrame:
 
 
 def events_as_trades(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     return _as_trades(events, F.col(symbol).cast("string"))
 
 
