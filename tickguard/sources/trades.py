@@ -91,8 +91,12 @@ def parse_lines(text: DataFrame, column: str = "value") -> DataFrame:
     """The same reading of JSON text that already sits in a column."""
     parsed = F.from_json(column, RAW_TRADE_LINE, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return text.select(*[c for c in text.columns if c != column], parsed.alias("r")).select(
-        *[c for c in text.columns if c != column], "r.*")
+    return text.select(*[c for c in text.columns if c != column], once(parsed))
+
+
+def once(parsed: Column) -> Column:
+    """Fields of a parsed struct, through a generator so that no filter parses it again."""
+    return F.inline(F.array(parsed))
 
 
 def to_transactions(raw: DataFrame, *keep: str) -> DataFrame:
@@ -116,9 +120,9 @@ def to_raw(trades: DataFrame, *keep: str) -> DataFrame:
 def open_envelopes(messages: DataFrame, column: str = "value") -> DataFrame:
     """One raw trade per element of every trade envelope; other messages give none."""
     return (
-        messages.select(F.from_json(column, ENVELOPE).alias("e"))
-        .filter(F.col("e.type") == "trade")
-        .select(F.inline("e.data"))
+        messages.select(once(F.from_json(column, ENVELOPE)))
+        .filter(F.col("type") == "trade")
+        .select(F.inline("data"))
     )
 
 
