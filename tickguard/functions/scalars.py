@@ -38,16 +38,16 @@ def age_text(now: Column, latest: Column) -> Column:
     """Age as whole seconds below a minute, whole minutes below an hour, else whole hours."""
     micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(latest.cast("timestamp"))
     seconds = (micros / F.lit(MICROS)).cast("long")
-    text = (
-        F.when(seconds < 60, F.format_string("%ds", seconds))
+    return (
+        F.when(latest.isNull(), F.lit("—"))
+        .when(seconds < 60, F.format_string("%ds", seconds))
         .when(seconds < 3600, F.format_string("%dmin", F.floor(seconds / 60)))
         .otherwise(F.format_string("%dh", F.floor(seconds / 3600)))
     )
-    return F.coalesce(text, F.lit("—"))
 
 
 def two_decimals(col: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", col), F.lit("—"))
+    return F.when(col.isNull(), F.lit("—")).otherwise(F.format_string("%.2f", col))
 
 
 def second_stamp(col: Column) -> Column:

@@ -223,7 +223,8 @@ SELECT symbol, count(*) AS alerts FROM alerts GROUP BY symbol ORDER BY alerts DE
   SELECT min(z_score) AS low, max(z_score) AS high FROM alerts),
 placed AS (
   SELECT symbol, low, (high - low) / 30 AS width,
-         CAST(least(30, floor((z_score - low) / ((high - low) / 30)) + 1) AS BIGINT) AS bin
+         CAST(CASE WHEN low = high THEN 1
+              ELSE least(30, floor((z_score - low) / ((high - low) / 30)) + 1) END AS BIGINT) AS bin
   FROM alerts, ends)
 SELECT symbol, bin, count(*) AS alerts, {tidy("min(low + (bin - 1) * width)", "bin_from")},
        {tidy("min(low + bin * width)", "bin_to")} FROM placed GROUP BY symbol, bin""",

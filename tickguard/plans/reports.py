@@ -81,6 +81,7 @@ def count_by_symbol(alerts: DataFrame) -> DataFrame:
 def histogram(alerts: DataFrame, value: str = "z_score", bins: int = 30) -> DataFrame:
     """Counts per symbol in ``bins`` equal bins over the whole range, the top edge included.
 
+    Values that are all equal fall into bin 1.
     The range is a scalar subquery, not a join. The alerts are read twice, so
     settle them first when they are dear to compute.
     """
