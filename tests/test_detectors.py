@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickguard.operators import volatility as V
 from tickguard.operators import zscore as Z
-from tickguard.operators.trailing import trailing_stats, trailing_zscores
+from tickguard.operators.trailing import fitting_blocks, trailing_stats, trailing_zscores
 from tickguard.operators.windows import direct_sliding_stats, sliding_stats
 from tickguard.params import VolatilityRule, WindowSpec, ZScoreRule
 from conftest import at, rows_of
@@ -181,6 +181,14 @@ def test_trailing_zscores_equal_brute_force(trades, ties, blocks):
     assert len(want) >= 2
 
 
+def test_busy_blocks_are_cut_shorter(trades):
+    df = trades([("A", 1, i / 100) for i in range(900)] + [("B", 1, 1)])
+    assert fitting_blocks(df, 60) == 6
+    assert fitting_blocks(df, 60, rows_per_block=300) == 20
+    assert fitting_blocks(trades([]), 60) == 6
+    assert 60_000_000 % fitting_blocks(df, 60, rows_per_block=1) == 0
+
+
 def test_trailing_range_includes_both_ends(trades):
     df = trades([("A", 1, 0), ("A", 2, 60), ("A", 4, 60.001)])
     counts = [r.count_trades for r in trailing_stats(df, 60).orderBy("event_time").collect()]

@@ -1,6 +1,7 @@
 """Streams against their table twins, late data, restarts and summaries."""
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -9,7 +10,7 @@ from tickguard.operators import volatility as V
 from tickguard.operators import zscore as Z
 from tickguard.params import FeedRate, VolatilityRule, WindowSpec, ZScoreRule
 from tickguard.schema import VOLATILITY_ALERT, ZSCORE_ALERT
-from tickguard.session import stream_session
+from tickguard.session import shared_root, stream_session
 from tickguard.sources import trades as feed
 from tickguard.sources.alerts import read_alerts
 from tickguard.streaming import jobs, sinks
@@ -79,6 +80,17 @@ def test_micro_batches_are_scored_on_their_own_and_late_trades_too(lots):
     assert found == {(0, 150.0, True), (1, 150.0, False)}
 
 
+def test_no_intermediate_table_is_left_by_a_batch(lots, spark):
+    def settled():
+        return set(Path(shared_root(spark)).glob("tickguard/groups-*"))
+
+    before = settled()
+    lots.add(minute(0) + [("A", 300.0, 30.5)])
+    jobs.drain(jobs.zscore_job(lots.stream(), lots.path("alerts"), lots.path("state")))
+    assert read_alerts(lots.spark, lots.path("alerts"), ZSCORE_ALERT).count() == 1
+    assert settled() == before
+
+
 def test_quiet_batch_leaves_a_summary_but_no_folder(lots, tmp_path):
     lots.add(minute(0))
     jobs.drain(jobs.zscore_job(

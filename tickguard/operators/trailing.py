@@ -6,7 +6,8 @@ the block holding t - span, the whole blocks between, and the start of the block
 holding t. The first and last parts are running summaries inside one block, in
 opposite directions; the middle part is made of block totals. So no frame is
 ever re-read row by row, and no task needs more of a symbol than one block of
-distinct instants.
+distinct instants. ``fitting_blocks`` makes the blocks short enough for the
+busiest one.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from tickguard.operators.zscore import outliers, scored
 from tickguard.params import MICROS, ZScoreRule
 
 OWN, TOTAL, LEAVING = 0, 1, 2
+ROWS_PER_BLOCK = 4_000_000
+MIN_BLOCKS, MAX_BLOCKS = 6, 1200
 
 
 def priced(trades: DataFrame) -> DataFrame:
@@ -42,11 +45,24 @@ def instants(trades: DataFrame, block_us: int) -> DataFrame:
         .agg(*M.summarize(F.col("price"))))
 
 
-def trailing_stats(trades: DataFrame, span_s: int, blocks: int = 6) -> DataFrame:
+def fitting_blocks(trades: DataFrame, span_s: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:
+    """Blocks per span that leave about ``rows_per_block`` trades in the busiest block."""
+    span_us = span_s * MICROS
+    at = F.unix_micros("event_time")
+    busiest = (
+        trades.filter(F.col("symbol").isNotNull() & F.col("event_time").isNotNull())
+        .groupBy("symbol", block_of(at, span_us // MIN_BLOCKS)).count()
+        .agg(F.max("count")).first()[0] or 0)
+    wanted = min(MAX_BLOCKS, MIN_BLOCKS * -(-busiest // rows_per_block))
+    return next(b for b in range(max(MIN_BLOCKS, wanted), span_us + 1) if span_us % b == 0)
+
+
+def trailing_stats(trades: DataFrame, span_s: int, blocks: int | None = None) -> DataFrame:
     """Statistics of the trailing range at every (symbol, instant).
 
     ``n``, ``low`` and ``high`` describe the trades of the instant itself.
     """
+    blocks = blocks or fitting_blocks(trades, span_s)
     span_us = span_s * MICROS
     if span_us % blocks:
         raise ValueError("the span must be a whole number of blocks")
@@ -111,7 +127,8 @@ def trailing_stats(trades: DataFrame, span_s: int, blocks: int = 6) -> DataFrame
 
 
 def trailing_zscores(
-    trades: DataFrame, span_s: int, rule: ZScoreRule = ZScoreRule(), blocks: int = 6, **sizes,
+    trades: DataFrame, span_s: int, rule: ZScoreRule = ZScoreRule(), blocks: int | None = None,
+    **sizes,
 ) -> DataFrame:
     """Trades outside ``threshold`` deviations of their own trailing range.
 

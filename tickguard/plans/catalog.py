@@ -60,7 +60,7 @@ def shown(df: DataFrame) -> DataFrame:
     def one(name, kind):
         if name in MEASURES:
             return tidy(F.col(name)).alias(name)
-        if kind == "timestamp":
+        if kind in ("timestamp", "date"):
             return F.col(name).cast("timestamp_ntz").alias(name)
         return F.col(name)
 

@@ -74,7 +74,7 @@ scored AS (
 
 
 DAY = "date_trunc('day', event_time), symbol"
-Z_DAY = scored(DAY, extra=", CAST(event_time AS DATE) AS day")
+Z_DAY = scored(DAY, extra=", CAST(date_trunc('day', event_time) AS TIMESTAMP) AS day")
 Z_ALERTS = f"{Z_DAY}, alerts AS (SELECT * FROM scored WHERE abs(z_score) > 3)"
 Z_COLUMNS = ("event_time, symbol, price, volume, count_trades, "
              + tidied("mean_price", "stddev_price", "z_score"))
@@ -119,7 +119,7 @@ SELECT CASE WHEN volume < 5 THEN 16 WHEN volume < 10 THEN 1 ELSE 9 END::BIGINT A
 AND symbol IN (SELECT symbol FROM trades GROUP BY symbol HAVING max(price) > 300)""",
     "first_n": f"WITH {TRADES} SELECT * FROM trades ORDER BY event_time, event_id LIMIT 20",
     "quote_snapshot": f"""WITH {TRADES}, days AS (
-  SELECT symbol, CAST(event_time AS DATE) AS day, arg_max(price, (event_time, event_id)) AS c,
+  SELECT symbol, CAST(date_trunc('day', event_time) AS TIMESTAMP) AS day, arg_max(price, (event_time, event_id)) AS c,
          arg_min(price, (event_time, event_id)) AS o, max(price) AS h, min(price) AS l
   FROM trades GROUP BY 1, 2),
 lagged AS (SELECT *, lag(c) OVER (PARTITION BY symbol ORDER BY day) AS pc FROM days)
@@ -127,7 +127,7 @@ SELECT symbol, day, c, pc, o, h, l, {tidy("c - pc", "d")},
        {tidy("100 * (c - pc) / nullif(pc, 0)", "dp")} FROM lagged""",
     "json_roundtrip": f"WITH {MILLIS} SELECT event_time, symbol, price, volume FROM trades",
     "file_census": f"""WITH {TRADES}
-SELECT CAST(event_time AS DATE) AS lot, true AS has_files, count(*) AS trades
+SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS lot, true AS has_files, count(*) AS trades
 FROM trades GROUP BY 1""",
     "keyed_layout": f"""WITH {MILLIS}
 SELECT symbol AS key, count(*) AS messages, count(*) AS own_key,
@@ -143,7 +143,7 @@ SELECT window_start, window_end, symbol, count_trades, {STATS} FROM windows""",
 SELECT {V_COLUMNS} FROM rated WHERE volatility_ratio > 1.0""",
     "volatility_revisions": f"WITH {REVISIONS} SELECT * FROM revisions",
     "volatility_batch_summary": f"""WITH {VOLATILE}
-SELECT CAST(window_start AS DATE) AS batch, count(*) AS analysed,
+SELECT CAST(date_trunc('day', window_start) AS TIMESTAMP) AS batch, count(*) AS analysed,
        count(*) FILTER (WHERE volatility_ratio > 1.0) AS alerts,
        CASE WHEN count(*) FILTER (WHERE volatility_ratio > 1.0) = 0
             THEN round(max(volatility_ratio) + 1e-9, 6) END AS max_measure

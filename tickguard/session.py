@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,8 +40,10 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
 
     The width of stateful operators is frozen in the checkpoint at the first
     run, so it is set on a session of its own, away from the batch settings.
+    By default it is the number of cores, and no more than the session's width.
     """
-    width = state_partitions or spark.sparkContext.defaultParallelism
+    width = state_partitions or min(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sibling = spark.newSession()
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
     sibling.conf.set("spark.sql.shuffle.partitions", str(width))
@@ -66,6 +70,9 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tickguard/{label}-{uuid.uuid4().hex}"
 
 
+_open_scope: ContextVar[list[str] | None] = ContextVar("settled_paths", default=None)
+
+
 def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -74,4 +81,21 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
+    if (scope := _open_scope.get()) is not None:
+        scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settled_for_now(spark: SparkSession):
+    """Tables settled inside are removed at the end, so a long-running job leaves none behind."""
+    paths: list[str] = []
+    token = _open_scope.set(paths)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)

@@ -12,6 +12,7 @@ from tickguard.operators import volatility as V
 from tickguard.operators import zscore as Z
 from tickguard.operators.windows import direct_sliding_stats, windowed_stats
 from tickguard.params import MICROS, VolatilityRule, WindowSpec, ZScoreRule
+from tickguard.session import settled_for_now
 from tickguard.streaming.sinks import observed, write_alerts, write_summary
 
 
@@ -47,8 +48,10 @@ def zscore_job(
         # is rebuilt from the source files if an executor is lost.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            scored, seen = observed(Z.score_batch(batch, rule), "abs(z_score)", rule.threshold)
-            write_alerts(Z.outliers(scored, rule).select(*Z.COLUMNS), alerts, batch_id)
+            with settled_for_now(batch.sparkSession):
+                scored, seen = observed(
+                    Z.score_batch(batch, rule), "abs(z_score)", rule.threshold)
+                write_alerts(Z.outliers(scored, rule).select(*Z.COLUMNS), alerts, batch_id)
             if summaries:
                 write_summary(seen.get, summaries, batch_id, batch.sparkSession)
         finally:
