@@ -24,6 +24,6 @@ def events_as_trades(spark: SparkSession, sf_dir: str, symbol: str = "event_type
 
 
 def stream_events_as_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = (spark.readStream.schema(EVENTS)
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    # A pattern, because a stream takes a lone file only by pattern; it fits a folder too.
+    events = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
     return _as_trades(events, F.col("event_type"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -44,18 +43,13 @@ def zscore_job(
     """Each micro-batch's trades against that batch's statistics; late trades count too."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # Statistics and trades both read the batch; the copy spills to disk and
-        # is rebuilt from the source files if an executor is lost.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            with settled_for_now(batch.sparkSession):
-                scored, seen = observed(
-                    Z.score_batch(batch, rule), "abs(z_score)", rule.threshold)
-                write_alerts(Z.outliers(scored, rule).select(*Z.COLUMNS), alerts, batch_id)
-            if summaries:
-                write_summary(seen.get, summaries, batch_id, batch.sparkSession)
-        finally:
-            batch.unpersist()
+        # Statistics and trades each read the batch from its source: a batch may be
+        # a long backlog, which is not worth a second copy.
+        with settled_for_now(batch.sparkSession):
+            scored, seen = observed(Z.score_batch(batch, rule), "abs(z_score)", rule.threshold)
+            write_alerts(Z.outliers(scored, rule).select(*Z.COLUMNS), alerts, batch_id)
+        if summaries:
+            write_summary(seen.get, summaries, batch_id, batch.sparkSession)
 
     return (trades.writeStream.outputMode("append").foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint))
