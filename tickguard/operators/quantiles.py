@@ -24,16 +24,15 @@ ACCURACY = 20_000
 def exact_quantiles(
     df: DataFrame, key: str, value: str, wanted: dict[str, float], **sizes,
 ) -> DataFrame:
-    """One row per key with a column per entry of ``wanted`` (name: fraction)."""
+    """One row per key: its number of values ``rows``, and a column per entry of
+    ``wanted`` (name: fraction)."""
     facts = (
         df.select(key, number(F.col(value)).alias("x"))
         .filter(F.col("x").isNotNull() & F.col(key).isNotNull()))
     edges = sorted({min(1.0, max(0.0, q + side)) for q in wanted.values()
                     for side in (-MARGIN, MARGIN)})
-    sketches = settle(facts.groupBy(key).agg(
-        F.count("x").alias("total"),
-        F.percentile_approx("x", edges, ACCURACY).alias("cuts")), "sketches")
-
+    sketches = facts.groupBy(key).agg(
+        F.count("x").alias("total"), F.percentile_approx("x", edges, ACCURACY).alias("cuts"))
     counts = settle(facts.groupBy(key, "x").agg(F.count(F.lit(1)).alias("copies")), "counts")
     segment = reduce(lambda a, b: a + b, (
         F.when(F.col("x") > F.col("cuts")[i], 1).otherwise(0) for i in range(len(edges))))
@@ -68,4 +67,4 @@ def exact_quantiles(
         low, high = at(F.floor(p).cast("long")), at(F.ceil(p).cast("long"))
         part = F.max(p - F.floor(p))
         found.append((low + (high - low) * part).alias(name))
-    return ranked.groupBy(key).agg(*found)
+    return ranked.groupBy(key).agg(F.max("total").alias("rows"), *found)

@@ -104,18 +104,16 @@ def histogram(alerts: DataFrame, value: str = "z_score", bins: int = 30) -> Data
 def box_statistics(alerts: DataFrame, value: str = RATIO, **sizes) -> DataFrame:
     """Quartiles, the furthest values within 1.5 interquartile ranges, and the outliers' count.
 
-    The alerts are read four times, so settle them first when they are dear to compute.
+    The alerts are read three times, so settle them first when they are dear to compute.
     """
     quartiles = exact_quantiles(
         alerts, "symbol", value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, **sizes)
     facts = (alerts.select("symbol", F.col(value).alias("x"))
              .filter(is_number(F.col("x")) & F.col("symbol").isNotNull()))
-    held = facts.groupBy("symbol").agg(F.count(F.lit(1)).alias("held"))
-    boxes = held.join(quartiles, "symbol")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("x").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        attach(facts, boxes, ["symbol"], "held", **sizes)
+        attach(facts, quartiles, ["symbol"], "rows", **sizes)
         .groupBy("symbol")
         .agg(F.count(F.lit(1)).alias("alerts"),
              F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),

@@ -11,6 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# State outside the heap, committed as change logs.
+STREAM_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def build_session(app: str = "tickguard", master: str | None = None, **settings) -> SparkSession:
     """A session with UTC time, adaptive execution and RocksDB stream state.
@@ -23,8 +30,7 @@ def build_session(app: str = "tickguard", master: str | None = None, **settings)
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        **STREAM_STATE,
         **{key.replace("__", "."): value for key, value in settings.items()},
     }
     builder = SparkSession.builder.appName(app)
@@ -47,6 +53,8 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     sibling = spark.newSession()
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
     sibling.conf.set("spark.sql.shuffle.partitions", str(width))
+    for key, value in STREAM_STATE.items():
+        sibling.conf.set(key, value)
     return sibling
 
 
