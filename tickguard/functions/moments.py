@@ -24,30 +24,30 @@ def summarize(value: Column) -> list[Column]:
     ]
 
 
-def merged_count(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
-
-
-def merged_mean(parts: Column, n: Column) -> Column:
-    total = F.aggregate(
-        parts, F.lit(0.0), lambda acc, x: acc + x["n"] * F.coalesce(x["mean"], F.lit(0.0)))
-    return F.try_divide(total, n)
-
-
-def merged_m2(parts: Column, mean: Column) -> Column:
-    def add(acc, x):
-        gap = x["mean"] - mean
-        return acc + F.coalesce(x["m2"] + x["n"] * gap * gap, F.lit(0.0))
-
-    return F.aggregate(parts, F.lit(0.0), add)
-
-
-def merged_low(parts: Column) -> Column:
-    return F.array_min(F.transform(parts, lambda x: x["low"]))
-
-
-def merged_high(parts: Column) -> Column:
-    return F.array_max(F.transform(parts, lambda x: x["high"]))
+def merged_stats(parts: Column) -> Column:
+    """Mean, sample stddev and count of an array of summaries, merged in one pass in array order."""
+    zero = F.struct(
+        F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"),
+        F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
+
+    def merge(acc, x):
+        n = acc["n"] + x["n"]
+        gap = x["mean"] - acc["mean"]
+        both = F.struct(
+            n.alias("n"),
+            (acc["mean"] + gap * x["n"] / n).alias("mean"),
+            (acc["m2"] + x["m2"] + gap * gap * acc["n"] * x["n"] / n).alias("m2"),
+            F.least(acc["low"], x["low"]).alias("low"),
+            F.greatest(acc["high"], x["high"]).alias("high"))
+        return F.when(x["n"] > 0, both).otherwise(acc)
+
+    def finish(acc):
+        return F.struct(
+            F.when(acc["n"] > 0, acc["mean"]).alias("mean_price"),
+            sample_stddev(acc["n"], acc["m2"], acc["low"], acc["high"]).alias("stddev_price"),
+            acc["n"].alias("count_trades"))
+
+    return F.aggregate(parts, zero, merge, finish)
 
 
 def sample_stddev(n: Column, m2: Column, low: Column, high: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickguard.functions.scalars import is_number, volatility_ratio
 from tickguard.operators.windows import (
-    STATS, pane_summaries, sliding_stats, stats_of, whole, window_bounds, window_parts)
+    STATS, finished, inside, pane_summaries, sliding_stats, whole, window_bounds, window_starts)
 from tickguard.params import VolatilityRule, WindowSpec
 
 COLUMNS = ["window_start", "window_end", "symbol", "count_trades",
@@ -44,10 +44,9 @@ def revised_stats(trades: DataFrame, spec: WindowSpec, batch_s: int) -> DataFram
         raise ValueError("the batch and the window must be whole numbers of slides")
     batch = whole(F.col("slot"), batch_s // spec.slide_s)
     panes = pane_summaries(trades, spec).withColumn("batch_id", batch)
-    windows = window_parts(panes, spec).select("symbol", F.inline("groups"))
-    revisions = F.transform(
-        F.array_distinct(F.col("parts.batch_id")), lambda batch: F.struct(
-            batch.alias("batch_id"),
-            F.filter("parts", lambda x: x["batch_id"] <= batch).alias("parts")))
-    stats = windows.select("symbol", "start", F.inline(stats_of(revisions, "batch_id")))
+    held = window_starts(panes, spec).select(
+        "symbol", "start", inside("ahead", F.col("start"), spec).alias("parts"))
+    batches = held.withColumn("batch_id", F.explode(F.array_distinct(F.col("parts.batch_id"))))
+    stats = batches.select("batch_id", "symbol", "start", finished(
+        F.filter("parts", lambda x: x["batch_id"] <= F.col("batch_id"))))
     return stats.select("batch_id", *window_bounds(F.col("start"), spec), *STATS[2:])

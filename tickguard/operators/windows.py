@@ -54,8 +54,8 @@ def beside_neighbours(panes: DataFrame, spec: WindowSpec) -> tuple[DataFrame, Wi
     return laid_out, Window.partitionBy("symbol", "home").orderBy("slot")
 
 
-def window_parts(panes: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Every window that holds a pane, as an array ``groups`` of (start, parts).
+def window_starts(panes: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Every window that holds a pane, once: its ``start`` and the panes ``ahead``.
 
     A window is built at the first pane it holds: those are the windows that
     start after the symbol's previous pane.
@@ -71,37 +71,21 @@ def window_parts(panes: DataFrame, spec: WindowSpec) -> DataFrame:
             "before": F.lag("slot").over(near),
             "ahead": F.collect_list(F.struct(*fields)).over(near.rangeBetween(0, reach))})
         .filter("own")
-        .select("symbol", F.transform(starts, lambda start: F.struct(
-            start.alias("start"),
-            F.filter("ahead", lambda x: x["slot"] <= start + reach).alias("parts"),
-        )).alias("groups"))
+        .select("symbol", "ahead", F.explode(starts).alias("start"))
     )
 
 
-def stats_of(groups: Column, *keys: str) -> Column:
-    """Statistics of every group of pane summaries: array of (keys, parts) in, (keys, stats) out.
+def inside(panes: Column | str, start: Column, spec: WindowSpec) -> Column:
+    return F.filter(panes, lambda x: x["slot"].between(start, start + (spec.panes - 1)))
 
-    Use it under ``inline``: filters on the statistics then read the finished
-    values, where on a plain projection they would repeat the merge.
-    """
-    def kept(g):
-        return [g[k].alias(k) for k in keys]
-
-    def counted(g):
-        return F.struct(*kept(g), g["parts"].alias("parts"),
-                        M.merged_count(g["parts"]).alias("n"))
 
-    def averaged(g):
-        return F.struct(*kept(g), g["parts"].alias("parts"), g["n"].alias("n"),
-                        M.merged_mean(g["parts"], g["n"]).alias("mean"))
+def finished(parts: Column) -> Column:
+    """The merged statistics as columns.
 
-    def finished(g):
-        stddev = M.sample_stddev(g["n"], M.merged_m2(g["parts"], g["mean"]),
-                                 M.merged_low(g["parts"]), M.merged_high(g["parts"]))
-        return F.struct(*kept(g), g["mean"].alias("mean_price"),
-                        stddev.alias("stddev_price"), g["n"].alias("count_trades"))
-
-    return F.transform(F.transform(F.transform(groups, counted), averaged), finished)
+    Being a generator, it hands finished values to later filters, which on a
+    plain projection would repeat the merge.
+    """
+    return F.inline(F.array(M.merged_stats(parts)))
 
 
 def sliding_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -115,8 +99,8 @@ def sliding_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
     """
     if trades.isStreaming or spec.panes in (None, 1):
         return direct_sliding_stats(trades, spec)
-    windows = window_parts(pane_summaries(trades, spec), spec)
-    stats = windows.select("symbol", F.inline(stats_of(F.col("groups"), "start")))
+    windows = window_starts(pane_summaries(trades, spec), spec)
+    stats = windows.select("symbol", "start", finished(inside("ahead", F.col("start"), spec)))
     return stats.select(*window_bounds(F.col("start"), spec), *STATS[2:])
 
 
@@ -149,11 +133,10 @@ def windows_per_pane(trades: DataFrame, spec: WindowSpec) -> DataFrame:
     rows, near = beside_neighbours(pane_summaries(trades, spec), spec)
     around = F.collect_list(F.struct("slot", *M.FIELDS)).over(near.rangeBetween(-reach, reach))
     starts = F.sequence(F.col("slot") - reach, F.col("slot"))
-    groups = F.transform(starts, lambda start: F.struct(
-        start.alias("start"),
-        F.filter("around", lambda x: x["slot"].between(start, start + reach)).alias("parts")))
-    windows = F.transform(stats_of(groups, "start"), lambda w: F.struct(
-        *window_bounds(w["start"], spec), *[w[c].alias(c) for c in STATS[3:]]))
+    merged = F.transform(starts, lambda start: F.struct(
+        start.alias("start"), M.merged_stats(inside("around", start, spec)).alias("stats")))
+    windows = F.transform(merged, lambda w: F.struct(
+        *window_bounds(w["start"], spec), *[w["stats"][c].alias(c) for c in STATS[3:]]))
     return (
         rows.withColumn("around", around).filter("own").filter(F.col("n") > 0)
         .select("symbol", "slot", F.col("n").alias("pane_trades"),
