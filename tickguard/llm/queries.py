@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickguard.llm import decontam, packing, quality, sharding, urlfilter
+from tickguard.llm import decontam, lm, packing, quality, sharding, simhash, toxicity, urlfilter
 from tickguard.llm.common import ship, table
 
 SHARDS = 8
@@ -110,3 +110,23 @@ def op9_decontamination(spark, sf):
         F.size("_items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("_items"), ","), 256).alias("items_sha256"),
         (F.col("_n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op2_toxicity(spark, sf):
+    scored = toxicity.scored(table(spark, sf, "documents").select("doc_id", "text"),
+                             table(spark, sf, "labels").select("doc_id", "toxic"))
+    return scored.select("doc_id", F.col("_held_out").alias("held_out"), F.col("_score").alias("score"),
+                         F.col("_predicted").alias("predicted"))
+
+
+@query
+def op5_simhash(spark, sf):
+    grouped = simhash.near_groups(table(spark, sf, "documents"))
+    return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                          "component_id")
+
+
+@query
+def op10_lm_scoring(spark, sf):
+    return lm.score(table(spark, sf, "documents"))
