@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickguard.llm import decontam, lm, packing, quality, sharding, simhash, toxicity, urlfilter
+from tickguard.llm import (
+    decontam, lm, packing, quality, sharding, simhash, substring, toxicity, urlfilter)
 from tickguard.llm.common import ship, table
 
 SHARDS = 8
@@ -130,3 +131,8 @@ def op5_simhash(spark, sf):
 @query
 def op10_lm_scoring(spark, sf):
     return lm.score(table(spark, sf, "documents"))
+
+
+@query
+def op3_suffix_array_dedup(spark, sf):
+    return substring.repeats(table(spark, sf, "documents")).drop("runs")
