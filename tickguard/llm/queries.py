@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickguard.llm import (
-    decontam, lm, packing, quality, sharding, simhash, substring, toxicity, urlfilter)
+    decontam, lm, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter)
 from tickguard.llm.common import ship, table
 
 SHARDS = 8
@@ -136,3 +136,11 @@ def op10_lm_scoring(spark, sf):
 @query
 def op3_suffix_array_dedup(spark, sf):
     return substring.repeats(table(spark, sf, "documents")).drop("runs")
+
+
+@query
+def op1_pii(spark, sf):
+    found = pii.find(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    return found.select(
+        "doc_id", *[pii.count_of("_base", kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.written("_base"), 256).alias("base_sha256"), pii.written("_spans").alias("spans"))
