@@ -36,15 +36,23 @@ class Boosted:
         return 1 / (1 + F.exp(-2 * margin))
 
     def score(self, raw: Column) -> Column:
-        """Calibrated: linear between the knots. A thousandth of the raw score breaks ties."""
+        """Calibrated: linear between the knots. A thousandth of the raw score breaks ties.
+
+        The raw score is bound once, in a lambda, however often it is used.
+        """
         if not self.knots:
             return raw
-        step = F.lit(self.knots[-1][1])
-        for (x0, y0), (x1, y1) in reversed(list(zip(self.knots, self.knots[1:], strict=False))):
-            line = F.lit(y0) + (raw - x0) * ((y1 - y0) / (x1 - x0) if x1 > x0 else 0.0)
-            step = F.when(raw < x1, line).otherwise(step)
-        step = F.when(raw <= self.knots[0][0], F.lit(self.knots[0][1])).otherwise(step)
-        return 0.999 * step + 0.001 * raw
+        n = len(self.knots)
+        xs, ys = (F.array(*[F.lit(float(k[i])) for k in self.knots]) for i in (0, 1))
+
+        def calibrated(r: Column) -> Column:
+            below = F.size(F.filter(xs, lambda x: x <= r))
+            i, j = F.greatest(below, F.lit(1)), F.least(below + 1, F.lit(n))
+            x0, x1, y0, y1 = (F.element_at(v, k) for v in (xs, ys) for k in (i, j))
+            part = F.when(x1 > x0, F.greatest(F.lit(0.0), (r - x0) / F.nullif(x1 - x0, F.lit(0.0)))).otherwise(0.0)
+            return 0.999 * (y0 + (y1 - y0) * part) + 0.001 * r
+
+        return F.transform(F.array(raw), calibrated)[0]
 
 
 def fit(rows: DataFrame, size: int, trees: int = TREES, depth: int = DEPTH) -> Boosted:
