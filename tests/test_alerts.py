@@ -51,11 +51,11 @@ def test_dedup_collapses_trades_of_one_instant_and_price(zalerts):
 
 
 def test_flat_files_are_read_by_family(spark, tmp_path):
-    (tmp_path / "alerts_batch_5_20260508_035201.csv").write_text(
+    (tmp_path / "alerts_batch_5_one.csv").write_text(
         ",".join(VOLATILITY_ALERT.names) + "\n"
         "2024-01-01 00:00:00,2024-01-01 00:01:00,A,3,5.5,1.0,0.18\n")
-    (tmp_path / "alerts_batch_6_20260508_035211.csv").write_text("")
-    (tmp_path / "zscore_alerts_batch_7_20260508_040926.csv").write_text(
+    (tmp_path / "alerts_batch_6_two.csv").write_text("")
+    (tmp_path / "zscore_alerts_batch_7_three.csv").write_text(
         ",".join(ZSCORE_ALERT.names) + "\n2024-01-01 00:00:00.858,A,10.0,1.0,5.0,1.0,20,5.0\n")
     volatile = files.read_flat_alerts(spark, str(tmp_path), "volatility")
     scored = files.read_flat_alerts(spark, str(tmp_path), "zscore")
@@ -77,6 +77,48 @@ def test_alert_sink_replaces_its_batch_and_skips_empty_ones(spark, zalerts, tmp_
     assert rows_of(back.filter("batch_id = 3").drop("batch_id")) == rows_of(zalerts)
 
 
+def test_flat_files_match_by_name_and_odd_ones_are_listed(spark, tmp_path):
+    names = ZSCORE_ALERT.names
+    values = ["2024-01-01 00:00:00.858", "A", "10.0", "1.0", "5.0", "1.0", "20", "5.0"]
+    def save(name, *lines):
+        (tmp_path / f"zscore_alerts_batch_{name}.csv").write_text("\n".join(lines) + "\n")
+    save("1", ",".join(names), ",".join(values))
+    save("2", ",".join(reversed(names)), ",".join(reversed(values)))
+    save("3", ",".join(names[:-1]), ",".join(values[:-1]))
+    save("4", ",".join(names), ",".join(values), "2024-01-01 00:00:00,A")       # a cut line
+    (tmp_path / "zscore_alerts_batch_5.csv").write_bytes(b"\x00\xff\x1f\x8b no header, here\n")
+    back = files.read_flat_alerts(spark, str(tmp_path), "zscore")
+    assert rows_of(back, "batch_id", "symbol", "price", "z_score") == [
+        (1, "A", 10.0, 5.0), (2, "A", 10.0, 5.0), (3, "A", 10.0, None), (4, "A", 10.0, 5.0)]
+    assert back.count() == 4
+    odd = files.unreadable_flat_alerts(spark, str(tmp_path), "zscore")
+    assert [(f.rsplit("/", 1)[-1], n) for f, n in rows_of(odd)] == [
+        ("zscore_alerts_batch_4.csv", 1), ("zscore_alerts_batch_5.csv", 1)]
+
+
+def test_folders_that_are_not_there_yet_have_no_alerts(spark, tmp_path):
+    absent = str(tmp_path / "absent")
+    assert files.read_flat_alerts(spark, absent, "zscore").count() == 0
+    assert files.unreadable_flat_alerts(spark, absent, "volatility").count() == 0
+    back = files.read_alerts(spark, absent, ZSCORE_ALERT)
+    assert back.count() == 0 and back.columns == [*ZSCORE_ALERT.names, "batch_id"]
+
+
+def test_a_replay_without_alerts_leaves_none(spark, zalerts, tmp_path):
+    root = str(tmp_path / "alerts")
+    sinks.write_alerts(zalerts, root, 3)
+    sinks.write_alerts(zalerts.limit(0), root, 3)
+    assert files.read_alerts(spark, root, ZSCORE_ALERT).count() == 0
+    assert not (tmp_path / "alerts" / "batch_id=3").exists()
+
+
+def test_own_files_that_do_not_fit_are_an_error(spark, zalerts, tmp_path):
+    root = str(tmp_path / "alerts")
+    sinks.write_alerts(zalerts.select(*reversed(zalerts.columns)), root, 1)
+    with pytest.raises(Exception, match="CSV header|FAILED_READ_FILE"):
+        files.read_alerts(spark, root, ZSCORE_ALERT).collect()
+
+
 def test_kpis(spark, zalerts):
     kpi = reports.zscore_kpis(zalerts).first()
     assert (kpi.alerts, kpi.symbols, kpi.max_abs_z, kpi.max_abs_z_text) == (4, 2, 5.0, "5.00")

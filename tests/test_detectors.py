@@ -134,7 +134,7 @@ def test_both_tails_and_bound(trades):
         assert math.isclose(r.z_score, (r.price - r.mean_price) / r.stddev_price, rel_tol=1e-9)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"broadcast_rows": 0, "hot_rows": 7}])
+@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": 0, "hot_rows": 7}])
 def test_sliding_zscores_equal_brute_force(trades, sizes):
     rows = random_trades(260, symbols=("A", "B", None), seconds=150) + [
         ("A", 130, 60), ("A", 130, 60), ("B", 71, 75.5)]

@@ -16,7 +16,7 @@ from tickguard.sources.trades import watched
 from tickguard.streaming.sinks import in_symbol_order
 from conftest import rows_of
 
-SPLIT = {"broadcast_rows": 0, "hot_rows": 50}
+SPLIT = {"broadcast_bytes": 0, "hot_rows": 50}
 
 
 @pytest.fixture
@@ -55,6 +55,23 @@ def test_hot_group_and_its_copies_are_spread(hot, uncoalesced):
     assert "SortMergeJoin" in plan and "_salt" in plan
 
 
+def test_facts_out_of_a_shuffle_are_written_before_they_are_dealt(hot, uncoalesced):
+    """A retried task must deal its rows the same salts again, so it may not read a shuffle."""
+    shuffled = hot.repartition(5)
+    stats = hot.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    joined = attach(shuffled, stats, ["symbol"], "n", **SPLIT)
+    assert joined.count() == 3000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan and "rand(" not in plan
+
+
+def test_more_hot_groups_than_can_be_listed(hot, monkeypatch):
+    from tickguard.operators import attach as module
+
+    monkeypatch.setattr(module, "LISTED_GROUPS", 3)
+    assert rows_of(Z.batch_zscores(hot, **SPLIT)) == rows_of(Z.batch_zscores(hot))
+
+
 def test_watch_table_long_or_short(spark, hot):
     watch = spark.createDataFrame([("HOT",), ("S1",), ("S1",), ("absent",)], "symbol string")
     want = rows_of(hot.filter("symbol in ('HOT', 'S1')"))

@@ -1,6 +1,7 @@
 """Streams against their table twins, late data, restarts and summaries."""
 
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -101,6 +102,36 @@ def test_quiet_batch_leaves_a_summary_but_no_folder(lots, tmp_path):
     assert 0 < row.max_measure < 3
 
 
+def test_totals_go_on_beyond_the_recent_batches(lots):
+    totals = jobs.RunTotals()
+    lots.spark.streams.addListener(totals)
+    try:
+        for k in range(104):
+            lots.add([("A", 1.0, k)])
+        query = jobs.drain(lots.stream(FeedRate(files_per_trigger=1)).writeStream.format("noop")
+                           .option("checkpointLocation", lots.path("state")))
+        for _ in range(100):
+            if totals.of(query)["input_rows"] == 104:
+                break
+            time.sleep(0.1)
+        assert totals.of(query)["input_rows"] == 104
+        assert jobs.progress(query)["batches"] <= 100
+    finally:
+        lots.spark.streams.removeListener(totals)
+
+
+def test_jobs_take_the_trigger_of_the_feed(lots):
+    job = jobs.zscore_job(lots.stream(), lots.path("alerts"), lots.path("state"), rate=FeedRate(trigger_s=7))
+    lots.add(minute(0))
+    query = job.start()
+    try:
+        query.processAllAvailable()
+        assert "ProcessingTime" in str(query._jsq.streamingQuery().trigger()) if hasattr(
+            query._jsq, "streamingQuery") else query.isActive
+    finally:
+        query.stop()
+
+
 def test_late_trades_are_dropped_once_their_windows_closed(lots):
     spec = WindowSpec(60, 10, 30)
 

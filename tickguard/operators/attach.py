@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from tickguard.session import settle
 
-# Rows of a group table are a symbol, a time and a few numbers: about 30 MB of them.
-BROADCAST_ROWS = 300_000
+BROADCAST_BYTES = 32 << 20
 HOT_ROWS = 2_000_000
-MAX_HOT_GROUPS = 10_000
+# Hot groups that are listed one by one; the list is broadcast.
+LISTED_GROUPS = 100_000
+
+
+def written_bytes(rows: DataFrame) -> int:
+    """Size of a settled table's rows as text, which is close to what a broadcast holds."""
+    return rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
 
 
 def attach(
@@ -22,42 +27,41 @@ def attach(
     weight: str,
     *,
     deal_by: list[str] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inner join of ``facts`` with ``groups`` (unique on ``on``).
 
     ``weight`` is the group's number of facts. The groups are settled and
-    counted first. Up to ``broadcast_rows`` of them are broadcast, so the facts
+    measured first. Up to ``broadcast_bytes`` of them are broadcast, so the facts
     do not move. Beyond that both sides are shuffled by key, and every group of
     more than ``hot_rows`` facts is split over several partitions: its row is
     repeated once per salt and its facts are spread over the salts.
 
     Salts are dealt by a hash of the ``deal_by`` columns, which should tell the
-    facts of a group apart. Without them they are dealt by a seeded random
-    number, which also spreads identical copies; it depends on the row's
-    position, so ``facts`` must then come from a scan or a settled table, for a
-    retried task to deal the same salts again.
+    facts of a group apart. Without them the facts are settled too, and dealt by
+    their place in what was written, which spreads identical copies: a retried
+    task then reads the same rows and deals the same salts again.
     """
     groups = settle(groups, "groups")
-    rows, total = groups.agg(F.count(F.lit(1)), F.sum(weight)).first()
-    if rows <= broadcast_rows:
+    if written_bytes(groups) <= broadcast_bytes:
         return facts.join(F.broadcast(groups), on)
 
-    # Fewer than MAX_HOT_GROUPS groups can each hold more than total / MAX_HOT_GROUPS
-    # facts, so the list of hot groups is always small enough to broadcast.
-    cut = max(hot_rows, -(-(total or 0) // MAX_HOT_GROUPS))
-    salts = F.ceil(F.col(weight) / F.lit(cut)).cast("int")
-    hot = groups.filter(F.col(weight) > cut).select(*on, salts.alias("_salts"))
-    count = F.coalesce("_salts", F.lit(1))
+    heaviest, total = groups.agg(F.max(weight), F.sum(weight)).first()
+    salts = F.ceil(F.col(weight) / F.lit(hot_rows)).cast("int")
+    facts = facts.filter(reduce(lambda a, b: a & b, (F.col(key).isNotNull() for key in on)))
+    if not deal_by:
+        facts = settle(facts, "facts")
+    if (total or 0) // hot_rows <= LISTED_GROUPS:
+        hot = groups.filter(F.col(weight) > hot_rows).select(*on, salts.alias("_salts"))
+        facts = facts.join(F.broadcast(hot), on, "left")
+        count = F.coalesce("_salts", F.lit(1))
+        copies = F.greatest(salts, F.lit(1))
+    else:
+        # Too many hot groups to list: all are dealt over as many salts as the heaviest needs.
+        count = copies = F.lit(-(-heaviest // hot_rows)).cast("int")
     turn = (F.pmod(F.xxhash64(*deal_by), count) if deal_by
-            else F.floor(F.rand(0) * count))
-    dealt = (
-        facts.filter(reduce(lambda a, b: a & b, (F.col(key).isNotNull() for key in on)))
-        .join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", turn.cast("int"))
-        .drop("_salts")
-    )
-    copies = groups.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1)))
-    return dealt.join(copies.hint("shuffle_merge"), [*on, "_salt"]).drop("_salt")
+            else F.pmod(F.xxhash64(F.monotonically_increasing_id()), count))
+    dealt = facts.withColumn("_salt", turn.cast("int")).drop("_salts")
+    repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return dealt.join(repeated.hint("shuffle_merge"), [*on, "_salt"]).drop("_salt")

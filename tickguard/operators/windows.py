@@ -127,7 +127,7 @@ def direct_sliding_stats(trades: DataFrame, spec: WindowSpec) -> DataFrame:
 def windows_per_pane(trades: DataFrame, spec: WindowSpec) -> DataFrame:
     """Per (symbol, slot): the statistics of the windows that cover it, as an array.
 
-    ``pane_trades`` counts the trades of the pane itself.
+    ``pane_trades`` counts the trades of the pane itself; ``low`` and ``high`` are its extremes.
     """
     reach = spec.panes - 1
     rows, near = beside_neighbours(pane_summaries(trades, spec), spec)
@@ -139,6 +139,6 @@ def windows_per_pane(trades: DataFrame, spec: WindowSpec) -> DataFrame:
         *window_bounds(w["start"], spec), *[w["stats"][c].alias(c) for c in STATS[3:]]))
     return (
         rows.withColumn("around", around).filter("own").filter(F.col("n") > 0)
-        .select("symbol", "slot", F.col("n").alias("pane_trades"),
+        .select("symbol", "slot", F.col("n").alias("pane_trades"), "low", "high",
                 F.inline(F.array(F.struct(windows.alias("windows")))))
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickguard.functions.scalars import second_stamp
@@ -168,30 +168,53 @@ def json_roundtrip(spark, sf):
 
 @query
 def file_census(spark, sf):
-    """Lots of raw files, one folder per day: every day is there and no trade is lost."""
+    """Lots of raw files, one folder per day, with the trades in each and the files of all.
+
+    A day without a readable line still shows; ``all_counted`` tells whether the
+    census of names has as many files as the days together.
+    """
     (path,) = scratch(spark, "raw")
     (feed.to_raw(events_as_trades(spark, sf), day_of().alias("lot"))
      .write.partitionBy("lot").json(path))
     lot = F.regexp_extract("path", r"lot=([0-9-]+)", 1).cast("date").alias("lot")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
              .option("recursiveFileLookup", "true").load(path)
-             .select(lot).groupBy("lot").agg((F.count(F.lit(1)) > 0).alias("has_files")))
+             .select(lot).groupBy("lot").agg(F.count(F.lit(1)).alias("files")))
     lines = feed.readable(feed.read_lines(spark, path).drop("lot"))
     trades = feed.to_transactions(lines).groupBy(day_of().alias("lot")).agg(
         F.count(F.lit(1)).alias("trades"))
-    return files.join(trades, "lot")
+    counted = feed.count_files(spark, path, "*.json").crossJoin(
+        files.agg(F.sum("files").alias("by_day"))).select((F.col("files") == F.col("by_day")).alias("all_counted"))
+    return (files.join(trades, "lot", "left").crossJoin(counted)      # one row on the right
+            .select("lot", (F.col("files") > 0).alias("has_files"),
+                    F.coalesce("trades", F.lit(0)).alias("trades"), "all_counted"))
 
 
 @query
 def keyed_layout(spark, sf):
-    """The keyed messages, with the time each symbol's previous message carried."""
+    """The keyed messages as they lie: per symbol, how many carry an earlier time than one before them.
+
+    Places come from the written layout: the file is the partition's number, and
+    lines keep their order in it. Within a file a message is held against all
+    before it, and the files of a symbol against each other by their extremes.
+    """
+    (path,) = scratch(spark, "layout")
     laid_out = sinks.in_symbol_order(events_as_trades(spark, sf), "event_id")
-    sent = feed.parse_lines(sinks.keyed_messages(laid_out))
-    return sent.groupBy("key").agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.count_if(F.col("key") == F.col("s")).alias("own_key"),
-        F.timestamp_millis(F.min("t")).alias("first_time"),
-        F.timestamp_millis(F.max("t")).alias("last_time"))
+    (feed.parse_lines(sinks.keyed_messages(laid_out))
+     .withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()})
+     .write.parquet(path))
+    sent = spark.read.parquet(path)
+    before = Window.partitionBy("key", "part").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, -1)
+    parts = (sent.withColumn("latest", F.max("t").over(before)).groupBy("key", "part").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if(F.col("key") == F.col("s")).alias("own_key"),
+        F.count_if(F.col("t") < F.col("latest")).alias("late"), F.min("t").alias("low"), F.max("t").alias("high")))
+    earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return (parts.withColumn("crossed", F.col("low") < F.max("high").over(earlier)).groupBy("key").agg(
+        F.sum("messages").alias("messages"), F.sum("own_key").alias("own_key"),
+        (F.sum("late") + F.count_if("crossed")).alias("out_of_order"),
+        F.timestamp_millis(F.min("low")).alias("first_time"),
+        F.timestamp_millis(F.max("high")).alias("last_time")))
 
 
 # --- detectors ---------------------------------------------------------------
@@ -277,6 +300,34 @@ def alerts_union(spark, sf):
     }).select("family", *volatility.COLUMNS, "event_time", "price", "volume", "z_score")
 
 
+def _flat_file(df: DataFrame, folder: str, name: str) -> None:
+    """One CSV file of the flat layout, as a recorder of single batches leaves it."""
+    spark = df.sparkSession
+    (made,) = scratch(spark, "flat")
+    df.coalesce(1).write.option("header", "true").option("timestampFormat", sinks.STAMP).csv(made)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop.Path(folder))
+    part = files.globStatus(hadoop.Path(f"{made}/part-*.csv"))[0].getPath()
+    files.rename(part, hadoop.Path(f"{folder}/{name}"))
+
+
+@query
+def alert_files_flat(spark, sf):
+    """Both families as flat files with reversed and with missing columns, and every row back."""
+    (folder,) = scratch(spark, "flat_alerts")
+    volatile = volatility.volatility_alerts(events_as_trades(spark, sf), SPEC, RULE)
+    scored = _z(spark, sf, batch="day")
+    chosen = F.col("symbol").isin(CHOSEN)
+    _flat_file(volatile.filter(chosen), folder, "alerts_batch_1_a.csv")
+    _flat_file(volatile.filter(~chosen).drop("count_trades"), folder, "alerts_batch_2_b.csv")
+    _flat_file(scored.filter(chosen), folder, "zscore_alerts_batch_3_a.csv")
+    _flat_file(scored.filter(~chosen).select(*reversed(scored.columns)), folder, "zscore_alerts_batch_4_b.csv")
+    return alert_files.union_alerts({
+        family: alert_files.read_flat_alerts(spark, folder, family) for family in alert_files.FAMILIES
+    }).select("family", "batch_id", *volatility.COLUMNS, "event_time", "price", "volume", "z_score")
+
+
 @query
 def alert_dedup_volatility(spark, sf):
     return dedup.first_volatility_alerts(_revisions(spark, sf), digits=6)
@@ -365,7 +416,7 @@ def alert_freshness(spark, sf):
 def csv_export_roundtrip(spark, sf):
     """Filtered alerts to a time-stamped CSV folder and back, typed by the schema."""
     (path,) = scratch(spark, "export")
-    picked = reports.filtered(_z(spark, sf, batch="day"), reports.Z_SIZE, CHOSEN, 3.0, 99.0)
+    picked = reports.filtered(_z(spark, sf, batch="day"), reports.Z_SIZE, CHOSEN, 3.0)
     stamp = spark.range(1).select(second_stamp(F.lit(NOW).cast("timestamp"))).first()[0]
     where = sinks.export_csv(picked, path, stamp)
     back = (spark.read.schema(ZSCORE_ALERT).option("header", "true")
@@ -375,20 +426,30 @@ def csv_export_roundtrip(spark, sf):
 
 # --- streams -----------------------------------------------------------------
 
-def _raw_stream(spark, path) -> DataFrame:
-    lines = feed.stream_lines(spark, path, FeedRate(files_per_trigger=1000))
+def _raw_stream(spark, path, files: int = 1000) -> DataFrame:
+    lines = feed.stream_lines(spark, path, FeedRate(files_per_trigger=files))
     return feed.to_transactions(feed.readable(lines))
 
 
 @query
 def stream_volatility_update(spark, sf):
-    """JSON lines through the update-mode detector; the latest revision of each window."""
+    """JSON lines through the update-mode detector, in three batches that revise the same windows.
+
+    Every third trade goes to the same lot, a file, and a trigger takes one file:
+    nearly every window is emitted three times. Returned is the latest alert of each
+    window, and how often the window alerted.
+    """
     raw, out, state = scratch(spark, "raw", "alerts", "state")
-    sinks.write_lines(events_as_trades(spark, sf), raw)
+    trades = events_as_trades(spark, sf)
     stream = stream_session(spark)
-    jobs.drain(jobs.volatility_job(_raw_stream(stream, raw), out, state, MONTH, RULE))
+    for lot in range(3):
+        # One file a lot, so that a trigger is a lot: the lots are the feature here.
+        sinks.write_lines(trades.filter(F.col("event_id") % 3 == lot).coalesce(1), raw)
+    jobs.drain(jobs.volatility_job(_raw_stream(stream, raw, 1), out, state, MONTH, RULE))
     alerts = alert_files.read_alerts(spark, out, VOLATILITY_ALERT)
-    return dedup.latest_revision(alerts).select(*volatility.COLUMNS)
+    often = alerts.groupBy(*dedup.WINDOW_KEY).agg(F.count(F.lit(1)).alias("emitted"))
+    return (dedup.latest_revision(alerts).join(often, dedup.WINDOW_KEY)
+            .select("batch_id", *volatility.COLUMNS, "emitted"))
 
 
 @query
@@ -432,7 +493,7 @@ def stream_late_drop(spark, sf):
 
 @query
 def stream_restart_idempotent(spark, sf):
-    """Two lots, two runs on one checkpoint, then the last batch replayed."""
+    """Two lots, two runs on one checkpoint, then the last batch replayed, and the first to nothing."""
     raw, out, state = scratch(spark, "raw", "alerts", "state")
     trades = events_as_trades(spark, sf)
     stream = stream_session(spark)
@@ -444,6 +505,7 @@ def stream_restart_idempotent(spark, sf):
         "event_time", F.date_trunc("millisecond", "event_time"))
     replay = zscore.batch_zscores(millis, Z_RULE).select(*zscore.COLUMNS)
     sinks.write_alerts(replay, out, 1)
+    sinks.write_alerts(replay.limit(0), out, 0)
     return alert_files.read_alerts(spark, out, ZSCORE_ALERT).select("batch_id", *zscore.COLUMNS)
 
 

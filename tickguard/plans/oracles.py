@@ -43,7 +43,6 @@ RATED = """rated AS (
   WHERE count_trades >= 2 AND stddev_price > 0)"""
 
 VOLATILE = f"{TRADES}, {spread()}, {WINDOWS}, {RATED}"
-VOLATILE_MS = f"{MILLIS}, {spread()}, {WINDOWS}, {RATED}"
 V_COLUMNS = ("window_start, window_end, symbol, count_trades, "
              + tidied("mean_price", "stddev_price", "volatility_ratio"))
 
@@ -127,10 +126,11 @@ SELECT symbol, day, c, pc, o, h, l, {tidy("c - pc", "d")},
        {tidy("100 * (c - pc) / nullif(pc, 0)", "dp")} FROM lagged""",
     "json_roundtrip": f"WITH {MILLIS} SELECT event_time, symbol, price, volume FROM trades",
     "file_census": f"""WITH {TRADES}
-SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS lot, true AS has_files, count(*) AS trades
+SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS lot, true AS has_files, count(*) AS trades,
+       true AS all_counted
 FROM trades GROUP BY 1""",
     "keyed_layout": f"""WITH {MILLIS}
-SELECT symbol AS key, count(*) AS messages, count(*) AS own_key,
+SELECT symbol AS key, count(*) AS messages, count(*) AS own_key, 0::BIGINT AS out_of_order,
        min(event_time) AS first_time, max(event_time) AS last_time FROM trades GROUP BY 1""",
 
     "window_stats": f"""WITH {TRADES}, {spread()}, {WINDOWS}
@@ -177,6 +177,16 @@ SELECT event_id, {Z_COLUMNS} FROM scored WHERE abs(z_score) > 3""",
 SELECT * FROM volatile
 UNION ALL BY NAME
 SELECT 'zscore' AS family, {Z_COLUMNS} FROM scored WHERE abs(z_score) > 3""",
+    "alert_files_flat": f"""WITH {Z_ALERTS}, {spread()}, {WINDOWS}, {RATED}
+SELECT 'volatility' AS family, CASE WHEN symbol IN {CHOSEN} THEN 1 ELSE 2 END::BIGINT AS batch_id,
+       window_start, window_end, symbol, CASE WHEN symbol IN {CHOSEN} THEN count_trades END AS count_trades,
+       {tidied("mean_price", "stddev_price", "volatility_ratio")}, NULL::TIMESTAMP AS event_time,
+       NULL::DOUBLE AS price, NULL::DOUBLE AS volume, NULL::DOUBLE AS z_score
+FROM rated WHERE volatility_ratio > 1.0
+UNION ALL
+SELECT 'zscore', CASE WHEN symbol IN {CHOSEN} THEN 3 ELSE 4 END, NULL, NULL, symbol, count_trades,
+       {tidied("mean_price", "stddev_price")}, NULL, event_time, price, volume, {tidy("z_score")}
+FROM alerts""",
     "alert_dedup_volatility": f"""WITH {REVISIONS}
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY window_start, window_end, symbol, mean_price
@@ -242,10 +252,25 @@ SELECT alerts, symbols, latest,
             ELSE (age_s // 3600) || 'h' END AS age FROM kpis""",
     "csv_export_roundtrip": f"""WITH {Z_ALERTS}
 SELECT {Z_COLUMNS}, '20240131_120000' AS stamp FROM alerts
-WHERE symbol IN {CHOSEN} AND abs(z_score) BETWEEN 3.0 AND 99.0""",
+WHERE symbol IN {CHOSEN} AND abs(z_score) >= 3.0""",
 
-    "stream_volatility_update": f"""WITH {VOLATILE_MS}
-SELECT {V_COLUMNS} FROM rated WHERE volatility_ratio > 1.0""",
+    "stream_volatility_update": f"""WITH {MILLIS}, {spread()}, batches AS (
+  SELECT *, event_id % 3 AS batch_id FROM spread),
+so_far AS (
+  SELECT DISTINCT batch_id, window_start, window_start + INTERVAL 6 HOUR AS window_end, symbol,
+         count(price) OVER w AS count_trades, avg(price) OVER w AS mean_price,
+         stddev_samp(price) OVER w AS stddev_price
+  FROM batches
+  WINDOW w AS (PARTITION BY window_start, symbol ORDER BY batch_id
+               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+alerts AS (
+  SELECT *, stddev_price / mean_price AS volatility_ratio FROM so_far
+  WHERE count_trades >= 2 AND stddev_price > 0 AND stddev_price / mean_price > 1.0),
+emitted AS (
+  SELECT window_start, symbol, max(batch_id) AS batch_id, count(DISTINCT batch_id) AS emitted
+  FROM alerts GROUP BY 1, 2)
+SELECT DISTINCT batch_id, {V_COLUMNS}, emitted
+FROM alerts JOIN emitted USING (window_start, symbol, batch_id)""",
     "stream_zscore_foreachbatch": f"""WITH {scored("symbol")}
 SELECT 0::BIGINT AS batch_id, {Z_COLUMNS} FROM scored WHERE abs(z_score) > 3""",
     "stream_zscore_sliding": f"""WITH {SLIDING}
@@ -259,7 +284,7 @@ WHERE symbol <> 'error' OR window_end > (
     "stream_restart_idempotent": f"""WITH {scored(
         "event_time >= TIMESTAMP '2024-01-16', symbol", MILLIS,
         ", CAST(event_time >= TIMESTAMP '2024-01-16' AS BIGINT) AS batch_id")}
-SELECT batch_id, {Z_COLUMNS} FROM scored WHERE abs(z_score) > 3""",
+SELECT batch_id, {Z_COLUMNS} FROM scored WHERE abs(z_score) > 3 AND batch_id = 1""",
     "stream_json_lots": f"WITH {MILLIS} SELECT event_time, symbol, price, volume FROM trades",
     "stream_dedup_zscore": f"""WITH {SLIDING}
 SELECT DISTINCT event_time, symbol, price, volume FROM sliding""",

@@ -54,13 +54,17 @@ def symbols(alerts: DataFrame) -> DataFrame:
     return alerts.select("symbol").distinct().orderBy("symbol")
 
 
-def selection(measure: str, chosen: list[str], low: float, high: float) -> Column:
-    """Chosen symbols within an inclusive range; everything else, null included, is out."""
-    inside = F.col("symbol").isin(list(chosen)) & F.expr(measure).between(low, high)
+def selection(measure: str, chosen: list[str], low: float, high: float | None = None) -> Column:
+    """Chosen symbols within an inclusive range, open above without ``high``; all else, null included, is out."""
+    inside = F.col("symbol").isin(list(chosen)) & (F.expr(measure) >= low)
+    if high is not None:
+        inside &= F.expr(measure) <= high
     return F.coalesce(inside, F.lit(False))
 
 
-def filtered(alerts: DataFrame, measure: str, chosen: list[str], low: float, high: float) -> DataFrame:
+def filtered(
+    alerts: DataFrame, measure: str, chosen: list[str], low: float, high: float | None = None,
+) -> DataFrame:
     return alerts.filter(selection(measure, chosen, low, high))
 
 

@@ -46,10 +46,10 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
 
     The width of stateful operators is frozen in the checkpoint at the first
     run, so it is set on a session of its own, away from the batch settings.
-    By default it is the number of cores, and no more than the session's width.
+    By default it is the session's shuffle width, a setting; the cores that
+    happen to have registered by now play no part.
     """
-    width = state_partitions or min(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    width = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sibling = spark.newSession()
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
     sibling.conf.set("spark.sql.shuffle.partitions", str(width))
@@ -103,7 +103,21 @@ def settled_for_now(spark: SparkSession):
         yield
     finally:
         _open_scope.reset(token)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in paths:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+            remove_folder(spark, path)
+
+
+def _located(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _located(spark, path)
+    return files.exists(where)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote."""
+    files, where = _located(spark, path)
+    files.delete(where, True)

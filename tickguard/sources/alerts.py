@@ -4,39 +4,85 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickguard.schema import VOLATILITY_ALERT, ZSCORE_ALERT
+from tickguard.session import folder_exists
 
 # File name patterns of the flat layout, one family each.
 FAMILIES = {
     "volatility": ("alerts_batch_*.csv", VOLATILITY_ALERT),
     "zscore": ("zscore_alerts_batch_*.csv", ZSCORE_ALERT),
 }
+#: Columns that a flat file may have at most; more are not alert files.
+MAX_COLUMNS = 32
 
 
-def _csv(spark: SparkSession, schema: T.StructType):
-    return (spark.read.schema(schema)
-            .option("header", "true")
-            .option("enforceSchema", "false")
-            .option("ignoreCorruptFiles", "true")
-            .option("ignoreMissingFiles", "true"))
+def _fields(line: Column) -> Column:
+    """The values of a CSV line, quotes resolved, as an array of strings."""
+    names = [f"c{i}" for i in range(MAX_COLUMNS)]
+    row = F.from_csv(line, ", ".join(f"{n} string" for n in names))
+    return F.slice(F.array(*[row[n] for n in names]), 1, F.size(F.split(line, ",")))
 
 
-def read_flat_alerts(spark: SparkSession, folder: str, family: str) -> DataFrame:
-    """All files of one family; the batch id comes from the file name."""
+def _flat_lines(spark: SparkSession, folder: str, family: str) -> DataFrame:
+    """(file, fields, is_header) of every line of the family; no row for a folder not there yet."""
     pattern, schema = FAMILIES[family]
-    batch = F.regexp_extract(F.col("_metadata.file_name"), r"batch_(\d+)", 1)
-    return (_csv(spark, schema).option("pathGlobFilter", pattern).csv(folder)
-            .withColumn("batch_id", batch.cast("long")))
+    known = F.array(*[F.lit(name) for name in schema.names])
+    if not folder_exists(spark, folder):
+        return spark.createDataFrame([], "file string, fields array<string>, is_header boolean")
+    lines = (spark.read.option("pathGlobFilter", pattern).text(folder)
+             .select(F.col("_metadata.file_path").alias("file"), _fields(F.col("value")).alias("fields"))
+             .filter(F.exists("fields", lambda f: f.isNotNull())))
+    return lines.withColumn("is_header", F.forall("fields", lambda f: F.array_contains(known, F.trim(f))))
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """The header of every file that has exactly one."""
+    return (lines.filter("is_header").groupBy("file")
+            .agg(F.min("fields").alias("header"), F.count(F.lit(1)).alias("n")).filter("n = 1").drop("n"))
+
+
+def read_flat_alerts(spark: SparkSession, folder: str, family: str) -> DataFrame:
+    """All files of one family, by column name; the batch id comes from the file name.
+
+    Files may have their columns in any order, and columns that a file lacks are
+    null. Lines that do not fit their file, and files without a header, are not
+    among the alerts but in ``unreadable_flat_alerts``. A folder that is not
+    there yet has no alerts.
+    """
+    _, schema = FAMILIES[family]
+    lines = _flat_lines(spark, folder, family)
+    rows = (lines.filter("not is_header").join(_headers(lines), "file")
+            .filter(F.size("fields") == F.size("header"))
+            .withColumn("by_name", F.map_from_arrays(F.transform("header", F.trim), F.col("fields"))))
+    batch = F.regexp_extract("file", r"batch_(\d+)[^/]*$", 1)
+    return rows.select(*[F.expr(f"try_cast(by_name['{f.name}'] AS {f.dataType.simpleString()})").alias(f.name)
+                         for f in schema.fields], batch.cast("long").alias("batch_id"))
+
+
+def unreadable_flat_alerts(spark: SparkSession, folder: str, family: str) -> DataFrame:
+    """(file, lines) that ``read_flat_alerts`` leaves out."""
+    lines = _flat_lines(spark, folder, family)
+    odd = (lines.join(_headers(lines), "file", "left")
+           .filter(F.col("header").isNull()
+                   | (~F.col("is_header") & (F.size("fields") != F.size("header")))))
+    return odd.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def read_alerts(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Alerts below ``batch_id=N`` folders; a batch filter prunes the folders read."""
+    """Alerts below ``batch_id=N`` folders; a batch filter prunes the folders read.
+
+    Our own sink wrote them, so a file that does not fit the schema is an error.
+    Before the first alert there is no folder, and no row.
+    """
     layout = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return _csv(spark, layout).csv(root)
+    if not folder_exists(spark, root):
+        return spark.createDataFrame([], layout)
+    return (spark.read.schema(layout).option("header", "true").option("enforceSchema", "false")
+            .csv(root))
 
 
 def union_alerts(families: dict[str, DataFrame]) -> DataFrame:

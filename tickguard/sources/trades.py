@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickguard.functions.scalars import event_time, number, utf8_text
-from tickguard.operators.attach import BROADCAST_ROWS, attach
+from tickguard.operators.attach import BROADCAST_BYTES, attach, written_bytes
 from tickguard.params import FeedRate
 from tickguard.schema import CORRUPT, ENVELOPE, RAW_TRADE, RAW_TRADE_LINE
 from tickguard.session import settle
@@ -32,7 +32,7 @@ def watched(trades: DataFrame, watch: DataFrame | list[str] | None = None, **siz
     """Only trades of watched symbols.
 
     A list becomes an IN predicate that reaches the scan. A table is settled and
-    counted: a short one is broadcast, a long one goes through ``attach``, which
+    measured: a short one is broadcast, a long one goes through ``attach``, which
     splits busy symbols.
     """
     if watch is None:
@@ -40,7 +40,7 @@ def watched(trades: DataFrame, watch: DataFrame | list[str] | None = None, **siz
     if not isinstance(watch, DataFrame):
         return trades.filter(F.col("symbol").isin(list(watch)))
     listed = settle(watch.select("symbol").distinct(), "watch")
-    if listed.count() <= sizes.get("broadcast_rows", BROADCAST_ROWS):
+    if written_bytes(listed) <= sizes.get("broadcast_bytes", BROADCAST_BYTES):
         kept = trades.join(F.broadcast(listed), "symbol", "left_semi")
     else:
         seen = trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("_seen"))
@@ -134,11 +134,12 @@ def first_messages(messages: DataFrame, order: list[str], n: int = 20) -> DataFr
 def count_files(spark: SparkSession, path: str, pattern: str = "batch_*.json") -> DataFrame:
     """Number of raw files, empty ones included.
 
-    Only names are listed, as Spark does before any scan; no file is opened.
+    A scan leaves empty files out, so the files are counted in the listing that
+    Spark makes for any scan; no name leaves the JVM and no file is opened.
     """
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
               .option("recursiveFileLookup", "true").load(path))
-    return spark.createDataFrame([(len(listed.inputFiles()),)], "files bigint")
+    return spark.range(1).select(F.lit(len(listed._jdf.inputFiles())).cast("bigint").alias("files"))
 
 
 # Start positions of the message stream and the connector's words for them.

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tickguard.functions.scalars import number
 from tickguard.operators import volatility as V
 from tickguard.operators import zscore as Z
 from tickguard.operators.windows import direct_sliding_stats, windowed_stats
-from tickguard.params import MICROS, VolatilityRule, WindowSpec, ZScoreRule
+from tickguard.params import MICROS, FeedRate, VolatilityRule, WindowSpec, ZScoreRule
 from tickguard.session import settled_for_now
 from tickguard.streaming.sinks import observed, write_alerts, write_summary
 
@@ -23,8 +23,9 @@ def window_stats_stream(trades: DataFrame, spec: WindowSpec = WindowSpec()) -> D
 def volatility_job(
     trades: DataFrame, alerts: str, checkpoint: str, spec: WindowSpec = WindowSpec(),
     rule: VolatilityRule = VolatilityRule(), summaries: str | None = None,
+    rate: FeedRate = FeedRate(),
 ) -> DataStreamWriter:
-    """Update mode: every batch alerts on the windows it changed."""
+    """Update mode: every batch alerts on the windows it changed. The trigger is the feed's."""
 
     def on_batch(stats: DataFrame, batch_id: int) -> None:
         rated, seen = observed(V.rated_windows(stats, rule), V.COLUMNS[-1], rule.threshold)
@@ -33,12 +34,12 @@ def volatility_job(
             write_summary(seen.get, summaries, batch_id, stats.sparkSession)
 
     return (window_stats_stream(trades, spec).writeStream.outputMode("update")
-            .foreachBatch(on_batch).option("checkpointLocation", checkpoint))
+            .foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(**rate.trigger))
 
 
 def zscore_job(
     trades: DataFrame, alerts: str, checkpoint: str,
-    rule: ZScoreRule = ZScoreRule(), summaries: str | None = None,
+    rule: ZScoreRule = ZScoreRule(), summaries: str | None = None, rate: FeedRate = FeedRate(),
 ) -> DataStreamWriter:
     """Each micro-batch's trades against that batch's statistics; late trades count too."""
 
@@ -52,7 +53,7 @@ def zscore_job(
             write_summary(seen.get, summaries, batch_id, batch.sparkSession)
 
     return (trades.writeStream.outputMode("append").foreachBatch(on_batch)
-            .option("checkpointLocation", checkpoint))
+            .option("checkpointLocation", checkpoint).trigger(**rate.trigger))
 
 
 def sliding_zscore_stream(
@@ -103,8 +104,38 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+class RunTotals(StreamingQueryListener):
+    """Batches, input rows and late rows of every query, for as long as the application lives.
+
+    A query's own ``recentProgress`` forgets all but its last hundred batches. Register
+    with ``spark.streams.addListener``. One entry a query is kept, whatever it runs.
+    """
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.totals.setdefault(str(event.id), {"batches": 0, "input_rows": 0, "late_rows": 0})
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        total = self.totals.setdefault(str(p.id), {"batches": 0, "input_rows": 0, "late_rows": 0})
+        total["batches"] += 1
+        total["input_rows"] += p.numInputRows
+        total["late_rows"] += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> dict[str, int]:
+        return self.totals.get(str(query.id), {"batches": 0, "input_rows": 0, "late_rows": 0})
+
+
 def progress(query: StreamingQuery) -> dict[str, int]:
-    """Input rows, and rows that came too late, over the query's recent batches."""
+    """Input rows, and rows that came too late, over the query's recent batches only."""
     recent = query.recentProgress
     return {
         "batches": len(recent),

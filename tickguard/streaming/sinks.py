@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickguard.session import remove_folder, settle
 from tickguard.sources.trades import to_raw
 
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -23,16 +24,16 @@ SUMMARY = T.StructType([
 def write_alerts(alerts: DataFrame, root: str, batch_id: int) -> None:
     """Replace the ``batch_id`` folder of ``root`` with these alerts.
 
-    A batch without alerts leaves no folder. A replayed batch overwrites its own
-    folder only. Small alert partitions are merged into few files and large
-    ones kept apart by the rebalance hint.
+    A batch without alerts leaves no folder, also if an earlier run of the batch
+    had some. Other batches are not touched. Small alert partitions are merged
+    into few files and large ones kept apart by the rebalance hint.
     """
-    (alerts.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    folder, seen = f"{root}/batch_id={batch_id}", Observation("written")
+    (alerts.drop("batch_id").observe(seen, F.count(F.lit(1)).alias("rows"))
      .hint("rebalance")
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("header", "true").option("timestampFormat", STAMP)
-     .partitionBy("batch_id").csv(root))
+     .write.mode("overwrite").option("header", "true").option("timestampFormat", STAMP).csv(folder))
+    if not seen.get.get("rows"):
+        remove_folder(alerts.sparkSession, folder)
 
 
 def write_summary(counts: dict, root: str, batch_id: int, spark) -> None:
@@ -81,20 +82,22 @@ def in_symbol_order(trades: DataFrame, *ties: str) -> DataFrame:
 
     Partitions are ranges of (symbol, time): one symbol may fill several of
     them, in order, so a busy symbol does not end up in a single task. Equal
-    trades are told apart by a seeded random number, so they may be split too.
+    trades are told apart by their place in a written copy, so they may be split
+    too, and a retried task deals them the same way.
     """
     order = ["symbol", "event_time", *ties]
-    return (trades.withColumn("_turn", F.rand(0))
+    return (settle(trades, "layout").withColumn("_turn", F.monotonically_increasing_id())
             .repartitionByRange(*order, "_turn")
             .sortWithinPartitions(*order).drop("_turn"))
 
 
-def publish(trades: DataFrame, servers: str, topic: str) -> None:
-    """Send keyed messages; needs Spark's Kafka package on the cluster.
+def publish(trades: DataFrame, servers: str, topic: str, *ties: str) -> None:
+    """Send keyed messages in symbol order; needs Spark's Kafka package on the cluster.
 
-    The key sends a symbol's messages to one partition of the topic. Messages
-    of one task arrive in order; those of different tasks may interleave, so
-    readers order by event time, as the detectors do.
+    The key sends a symbol's messages to one partition of the topic. They are
+    laid out in symbol order first, so those of one task arrive in order. A symbol
+    that fills several tasks is sent by them at the same time; only one task at a
+    time keeps the order then, which ``coalesce(1)`` on a small lot gives.
     """
-    (keyed_messages(trades).write.format("kafka")
+    (keyed_messages(in_symbol_order(trades, *ties)).write.format("kafka")
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
