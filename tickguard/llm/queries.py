@@ -45,6 +45,69 @@ def op4_quality_rules(spark, sf):
                          "n_repeat_words", "base_failed", "kept")
 
 
+ORACLES["op4_quality_rules"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS w FROM cut, unnest(range(1, len(words) - 3)) t(i)
+), twice AS (SELECT doc_id, w FROM windows GROUP BY ALL HAVING count(*) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM windows JOIN twice USING (doc_id, w), unnest(range(i, i + 5)) t(p)
+  GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, lang, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM cut LEFT JOIN covered USING (doc_id)
+), measured AS (
+  SELECT *, coalesce(word_chars * 100 // nullif(n_words, 0), 0) AS word_centichars,
+         coalesce(n_symbols * 10000 // nullif(word_chars, 0), 0) AS symbol_rate,
+         coalesce(n_dup_lines * 10000 // nullif(n_lines, 0), 0) AS dup_line_rate,
+         coalesce(n_repeat_words * 10000 // nullif(n_words, 0), 0) AS repeat_rate,
+         n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM counted
+), long AS (
+  SELECT lang, source, metric, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bin
+  FROM (SELECT lang, source, word_centichars, symbol_rate, dup_line_rate, repeat_rate FROM measured WHERE n_words > 0)
+  UNPIVOT (v FOR metric IN (word_centichars, symbol_rate, dup_line_rate, repeat_rate))
+), own AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY bin) AS upto,
+         sum(n) OVER (PARTITION BY lang, source, metric) AS total
+  FROM (SELECT lang, source, metric, bin, count(*) AS n FROM long GROUP BY ALL)
+), of_lang AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, metric ORDER BY bin) AS upto,
+         sum(n) OVER (PARTITION BY lang, metric) AS total
+  FROM (SELECT lang, metric, bin, count(*) AS n FROM long GROUP BY ALL)
+), lang_q AS (
+  SELECT lang, metric, min(bin) FILTER (4 * upto >= total) AS q1, min(bin) FILTER (4 * upto >= 3 * total) AS q3
+  FROM of_lang GROUP BY ALL
+), picked AS (
+  SELECT o.lang, o.source, o.metric,
+         CASE WHEN max(total) < 200 THEN any_value(l.q1) ELSE min(bin) FILTER (4 * upto >= total) END AS q1,
+         CASE WHEN max(total) < 200 THEN any_value(l.q3) ELSE min(bin) FILTER (4 * upto >= 3 * total) END AS q3
+  FROM own o JOIN lang_q l ON o.lang = l.lang AND o.metric = l.metric GROUP BY ALL
+), limits AS (
+  SELECT lang, source, metric, q1 - reach AS low, q3 + reach AS high
+  FROM (SELECT *, greatest(3 * (q3 - q1), CASE metric WHEN 'word_centichars' THEN 200 WHEN 'symbol_rate' THEN 200
+                                          WHEN 'dup_line_rate' THEN 3000 ELSE 1500 END) AS reach FROM picked)
+), wide AS (
+  SELECT lang, source, max(low) FILTER (metric = 'word_centichars') AS chars_low,
+         max(high) FILTER (metric = 'word_centichars') AS chars_high,
+         max(high) FILTER (metric = 'symbol_rate') AS symbol_high,
+         max(high) FILTER (metric = 'dup_line_rate') AS dup_high,
+         max(high) FILTER (metric = 'repeat_rate') AS repeat_high
+  FROM limits GROUP BY ALL
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       coalesce(NOT base_failed AND word_centichars BETWEEN chars_low AND chars_high AND symbol_rate <= symbol_high
+                AND dup_line_rate <= dup_high AND repeat_rate <= repeat_high, false) AS kept
+FROM measured LEFT JOIN wide USING (lang, source)
+"""
+
+
 @query
 def op6_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), word_bpe()).drop("ids")
@@ -144,3 +207,28 @@ def op1_pii(spark, sf):
     return found.select(
         "doc_id", *[pii.count_of("_base", kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(pii.written("_base"), 256).alias("base_sha256"), pii.written("_spans").alias("spans"))
+
+
+ORACLES["op9_decontamination"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(10, len(words)) AS n, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS w
+  FROM items, unnest(range(1, greatest(len(words) - 9, 1) + 1)) t(i) WHERE len(words) > 0
+), here AS (
+  SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS w
+  FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(words) - n + 2)) t(i)
+), met AS (SELECT * FROM here SEMI JOIN windows USING (n, w)
+), hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM met, unnest(range(i, i + n)) t(p) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM met JOIN windows USING (n, w)) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
