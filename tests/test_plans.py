@@ -5,14 +5,13 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from tickguard.operators import volatility
-from tickguard.plans.catalog import RULE, SPEC
+from tickguard.plans.catalog import QUERIES, RULE, SPEC
 from tickguard.sources.tables import events_as_trades
 from tickguard.sources.trades import watched
 
 SF = os.environ.get("TICKGUARD_SF", "/root/testdata/sf0.001")
-BATCH = [name for name in sorted(queries()) if not name.startswith("stream_")]
+BATCH = [name for name in sorted(QUERIES) if not name.startswith("stream_")]
 
 
 def plan(df):
@@ -21,7 +20,7 @@ def plan(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_no_cartesian_no_unsplit_window(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for banned in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert banned not in text
     lines = text.splitlines()

