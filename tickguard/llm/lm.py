@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickguard.llm.common import fold, utf8
+from tickguard.llm.quality import rounded
 from tickguard.session import settle
 
 CLASSES = 1024            # the end mark, RARE, and the most frequent words
-HEAD = 1 << 18            # words whose counts every task has; the others' counts are joined
+HEAD = 1 << 17            # words whose counts every task has; the others' counts are joined
 WIDTH, NOISE, STEPS, RATE = 32, 64, 120, 0.03
+PRIOR = 50                # tokens that every context is taken to have been followed by
 END, RARE = 0, 1
 #: Stands for the end mark among the words; no word is empty.
 END_WORD = b""
@@ -108,9 +110,12 @@ class LogBilinear:
         """
         size = len(self.bias)
         seen = np.zeros((size, size), np.float32)
-        seen[pairs[:, 0], pairs[:, 1]] = counts / counts.sum()
-        noise = seen.sum(0) + 1e-9
+        seen[pairs[:, 0], pairs[:, 1]] = counts
+        noise = (seen.sum(0) + 1).astype(np.float32)
         noise /= noise.sum()
+        # Contexts that are hardly seen keep to the unigrams.
+        seen += PRIOR * noise
+        seen /= seen.sum()
         fake = seen.sum(1)[:, None] * (NOISE * noise)
         log_kq = np.log(NOISE * noise)
         self.bias[:] = np.log(noise)
@@ -180,6 +185,18 @@ def _scorer(head, table):
     return score
 
 
+def _head_cut(counts: DataFrame) -> int:
+    """The least count such that no more than ``HEAD`` words have it; from a histogram of few bins."""
+    bins = counts.groupBy(rounded("n").alias("bin")).count().collect()
+    cut, words = 1 << 62, 0
+    for row in sorted(bins, reverse=True):
+        words += row["count"]
+        if words > HEAD:
+            break
+        cut = row.bin
+    return cut
+
+
 def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
@@ -194,8 +211,9 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     training = docs.filter(fold("doc_id", folds) != held)
     counts = settle(word_counts(training), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # Bounded by HEAD, whatever the corpus; a task holds it once.
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
+    # At most HEAD words and the end mark, whatever the corpus; a task holds them once.
+    top = (counts.filter((F.col("n") >= _head_cut(counts)) | (F.col("word") == F.lit(END_WORD)))
+           .toPandas().sort_values(["n", "word"], ascending=[False, True]))
     head: dict[bytes, tuple] = {}
     classed = {END_WORD: END}
     for word, n in zip(top["word"], top["n"], strict=True):
