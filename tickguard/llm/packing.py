@@ -10,7 +10,9 @@ look up their run. Nothing that the driver holds grows with the documents.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +21,10 @@ from tickguard.session import settle
 
 END = 1
 SIZE = 2048
-CHUNK_CACHE = 1 << 18
+CHUNK_CACHE = 1 << 19
+WORDS_AT_ONCE = 1 << 14
+GROUP_CHARS = 1 << 21     # characters of texts that are cut together
+MARKS = ".,;:!?#*$%&|)]}\"-_+=/"
 RANK_ROWS = 10_000        # pieces of one length that one task numbers
 
 PIECE = "struct<start:bigint,length:bigint,ids_crc32:bigint,ids:binary>"
@@ -34,58 +39,117 @@ def tokenized(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = Fal
     """
     @F.arrow_udf(f"struct<doc_tokens:bigint,pieces:array<{PIECE}>>")
     def cut(texts: pa.Array) -> pa.Array:
-        encode = _encoder(path)
+        encode = Encoder.of(path)
         counts, pieces = [], []
-        for text in texts.to_pylist():
-            ids = memoryview(encode(text or ""))
-            counts.append(len(ids) // 4)
-            pieces.append([{
-                "start": at // 4, "length": len(part) // 4, "ids_crc32": zlib.crc32(part),
-                "ids": bytes(part) if with_ids else None}
-                for at in range(0, len(ids), 4 * size) for part in [ids[at:at + 4 * size]]])
+        for group in _groups(texts.to_pylist()):
+            for ids in map(memoryview, encode(group)):
+                counts.append(len(ids) // 4)
+                pieces.append([{
+                    "start": at // 4, "length": len(part) // 4, "ids_crc32": zlib.crc32(part),
+                    "ids": bytes(part) if with_ids else None}
+                    for at in range(0, len(ids), 4 * size) for part in [ids[at:at + 4 * size]]])
         kind = pa.struct([("start", pa.int64()), ("length", pa.int64()),
                           ("ids_crc32", pa.int64()), ("ids", pa.binary())])
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(pieces, pa.list_(kind))], ["doc_tokens", "pieces"])
 
-    return (docs.withColumn("_cut", cut("text"))
+    # Not deterministic to the optimizer: else it is run once for each field that is read.
+    return (docs.withColumn("_cut", cut.asNondeterministic()("text"))
             .withColumns({"_doc_tokens": F.col("_cut.doc_tokens"), "_pieces": F.col("_cut.pieces")})
             .drop("_cut"))
 
 
-_ENCODERS: dict[str, object] = {}
+def _groups(texts: list[str | None]) -> Iterator[list[str]]:
+    held, chars = [], 0
+    for t in texts:
+        held.append(t or "")
+        chars += len(held[-1])
+        if chars >= GROUP_CHARS:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
 
 
-def _encoder(path: str):
-    """text -> its ids and the end mark, little-endian 32 bits each."""
-    if path in _ENCODERS:
+_ENCODERS: dict[str, Encoder] = {}
+
+
+class Encoder:
+    """texts -> their ids and the end mark, little-endian 32 bits each.
+
+    ASCII white space is never part of a token, so texts are cut there and the
+    ids of the stretches are kept, up to ``CHUNK_CACHE`` of them. New stretches that
+    are letters and then punctuation are words to the tokenizer; their letters are
+    encoded many at once, and the ids are told apart by the word ends among them.
+    The tokenizer encodes all other stretches one by one, and texts that may hold
+    its special tokens as a whole.
+    """
+
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
-    end = END.to_bytes(4, "little")
-
-    def encode(text: str) -> bytes:
-        chunks = text.encode().split()
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        own = {}
-        if new:
-            made = tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-            own = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(new, made, strict=True)}
-            if len(known) + len(own) > CHUNK_CACHE:
-                own |= {c: known[c] for c in set(chunks) if c in known}
-                known.clear()
-            known.update((c, i) for c, i in own.items() if len(c) <= 64)
-        ids = [known.get(c) or own.get(c, b"") for c in chunks] if own else map(known.__getitem__, chunks)
-        return b"".join(ids) + end
-
-    _ENCODERS[path] = encode
-    return encode
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        end = END.to_bytes(4, "little")
+        cut = [[] if "<|" in t else t.encode().lower().split() for t in texts]
+        new = set().union(*cut).difference(self.known)
+        if len(self.known) + len(new) > CHUNK_CACHE:
+            self.known.clear()
+            self.words.clear()
+            new = set().union(*cut)
+        self._learn(new)
+        get = self.known.__getitem__
+        return [(b"".join(map(get, chunks)) if "<|" not in t else self._ids([t])[0]) + end
+                for t, chunks in zip(texts, cut, strict=True)]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in made]
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        split: list[tuple[bytes, str, str]] = []
+        whole: list[bytes] = []
+        for c in chunks:
+            text = c.decode()
+            word = text.rstrip(MARKS)
+            if word.isalpha() or not word:
+                split.append((c, word, text[len(word):]))
+            else:
+                whole.append(c)
+        words = list({w for _, w, _ in split if w and w not in self.words})
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            self._learn_words(words[at:at + WORDS_AT_ONCE])
+        tails = list({t for _, _, t in split if t and t not in self.words})
+        self.words.update(zip(tails, self._ids(tails), strict=True))
+        self.words[""] = b""
+        self.known.update((c, self.words[w] + self.words[t]) for c, w, t in split)
+        self.known.update(zip(whole, self._ids([c.decode() for c in whole]), strict=True))
+
+    def _learn_words(self, words: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):        # some word is several to the tokenizer
+            self.words.update(zip(words, self._ids(words), strict=True))
+            return
+        raw = ids.tobytes()
+        begins = np.concatenate(([0], ends[:-1]))
+        self.words.update((w, raw[4 * a:4 * b]) for w, a, b in
+                          zip(words, begins.tolist(), ends.tolist(), strict=True))
 
 
 class OpenWindows:
