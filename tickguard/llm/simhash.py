@@ -116,8 +116,10 @@ def link_groups(prints: DataFrame, apart: int = BITS_APART) -> DataFrame:
         F.sequence(F.lit(0), F.lit(63)),
         lambda i: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
     if apart >= 2:
-        # The meeting point's least guest stands for it; one guest makes no link.
-        met = prints.select("fp", F.explode(near).alias("point"))
+        # The meeting point's least guest stands for it; one guest makes no link. Dealt
+        # anew, as few prints would share a task that makes 65 rows of each.
+        spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        met = spread.select("fp", F.explode(near).alias("point"))
         host = (met.groupBy("point").agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
                 .filter("least <> most").select("point", "least"))
         links = (met.join(host, "point").filter("fp <> least")
