@@ -1,16 +1,14 @@
 import os
 import sys
-from datetime import UTC, datetime, timedelta
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from support import at  # noqa: E402
 from tickguard.schema import TRANSACTION  # noqa: E402
 from tickguard.session import build_session  # noqa: E402
 
-START = datetime(2024, 1, 1, tzinfo=UTC)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -25,10 +23,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(seconds: float) -> datetime:
-    return START + timedelta(seconds=seconds)
-
-
 @pytest.fixture
 def trades(spark):
     """Build trades from (symbol, price, seconds) or (symbol, price, seconds, volume)."""
@@ -38,8 +32,3 @@ def trades(spark):
         return spark.createDataFrame(full, TRANSACTION)
 
     return build
-
-
-def rows_of(df, *columns):
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

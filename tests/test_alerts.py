@@ -11,7 +11,7 @@ from tickguard.plans import reports
 from tickguard.schema import VOLATILITY_ALERT, ZSCORE_ALERT
 from tickguard.sources import alerts as files
 from tickguard.streaming import sinks
-from conftest import rows_of
+from support import rows_of
 
 T0 = datetime(2024, 1, 1)
 T1 = datetime(2024, 1, 1, 0, 1)

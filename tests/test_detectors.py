@@ -11,7 +11,7 @@ from tickguard.operators import zscore as Z
 from tickguard.operators.trailing import fitting_blocks, trailing_stats, trailing_zscores
 from tickguard.operators.windows import direct_sliding_stats, sliding_stats
 from tickguard.params import VolatilityRule, WindowSpec, ZScoreRule
-from conftest import at, rows_of
+from support import at, rows_of
 
 SPEC = WindowSpec()
 ONE = WindowSpec(60, 60)

@@ -14,7 +14,7 @@ from tickguard.operators.quantiles import exact_quantiles
 from tickguard.plans import reports
 from tickguard.sources.trades import watched
 from tickguard.streaming.sinks import in_symbol_order
-from conftest import rows_of
+from support import rows_of
 
 SPLIT = {"broadcast_bytes": 0, "hot_rows": 50}
 

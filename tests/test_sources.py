@@ -10,7 +10,7 @@ from tickguard.operators.quotes import quote_snapshot
 from tickguard.params import FeedRate, WindowSpec
 from tickguard.sources import trades as feed
 from tickguard.streaming import sinks
-from conftest import at, rows_of
+from support import at, rows_of
 
 LINES = [
     '{"s":"A","p":1.5,"v":2,"t":1704067200123,"c":["1"],"extra":1}',

@@ -15,7 +15,7 @@ from tickguard.session import shared_root, stream_session
 from tickguard.sources import trades as feed
 from tickguard.sources.alerts import read_alerts
 from tickguard.streaming import jobs, sinks
-from conftest import at, rows_of
+from support import at, rows_of
 
 EPOCH_MS = 1_704_067_200_000
 

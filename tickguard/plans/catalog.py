@@ -183,11 +183,10 @@ def file_census(spark, sf):
     lines = feed.readable(feed.read_lines(spark, path).drop("lot"))
     trades = feed.to_transactions(lines).groupBy(day_of().alias("lot")).agg(
         F.count(F.lit(1)).alias("trades"))
-    counted = feed.count_files(spark, path, "*.json").crossJoin(
-        files.agg(F.sum("files").alias("by_day"))).select((F.col("files") == F.col("by_day")).alias("all_counted"))
-    return (files.join(trades, "lot", "left").crossJoin(counted)      # one row on the right
-            .select("lot", (F.col("files") > 0).alias("has_files"),
-                    F.coalesce("trades", F.lit(0)).alias("trades"), "all_counted"))
+    census = feed.count_files(spark, path, "*.json").scalar()
+    return (files.join(trades, "lot", "left")
+            .select("lot", (F.col("files") > 0).alias("has_files"), F.coalesce("trades", F.lit(0)).alias("trades"),
+                    (census == files.agg(F.sum("files")).scalar()).alias("all_counted")))
 
 
 @query
