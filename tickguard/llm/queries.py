@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickguard.llm import (
-    decontam, lm, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter)
+    decontam, lm, negatives, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter)
 from tickguard.llm.common import ship, table
 
 SHARDS = 8
@@ -209,6 +209,35 @@ def op1_pii(spark, sf):
         F.sha2(pii.written("_base"), 256).alias("base_sha256"), pii.written("_spans").alias("spans"))
 
 
+@query
+def op11_hard_negatives(spark, sf):
+    return negatives.mine(table(spark, sf, "embeddings"))
+
+
+ORACLES["op11_hard_negatives"] = r"""
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM sound a JOIN sound r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id, positive_score,
+       s.score AS negative_score
+FROM positives JOIN scored s USING (anchor_id)
+WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 ORACLES["op9_decontamination"] = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
