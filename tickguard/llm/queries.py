@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickguard.llm import (
-    decontam, lm, negatives, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter)
+    decontam, lexical, lm, negatives, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter)
 from tickguard.llm.common import ship, table
 
 SHARDS = 8
@@ -238,6 +238,39 @@ QUALIFY row_number() OVER w <= 5
 """
 
 
+@query
+def op13_lexical_search(spark, sf):
+    return lexical.rank(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
+ORACLES["op13_lexical_search"] = r"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), totals AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM doc_terms WHERE len(terms) > 0
+), held AS (
+  SELECT r, any_value(doc_id) AS doc_id, any_value(len(terms)) AS n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, terms, unnest(terms) AS term FROM doc_terms)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term, n_docs
+), parts AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS part
+  FROM held JOIN weights USING (term), totals
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM item_terms JOIN parts USING (term)
+  GROUP BY item_id, r, doc_id HAVING sum(part) > 0
+)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM scored
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER w <= 50
+"""
+
+
 ORACLES["op9_decontamination"] = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
