@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickguard.llm import (
-    decontam, lexical, lm, negatives, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter)
+    decontam, jaccard, lexical, lm, negatives, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter)
 from tickguard.llm.common import ship, table
 
 SHARDS = 8
@@ -238,6 +238,11 @@ QUALIFY row_number() OVER w <= 5
 """
 
 
+@query
+def op12_ngram_jaccard(spark, sf):
+    return jaccard.similar_groups(table(spark, sf, "documents"))
+
+
 @query
 def op13_lexical_search(spark, sf):
     return lexical.rank(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
