@@ -37,12 +37,14 @@ SHRUNK = 4                 # segments of a band whose subsets are indexed, beyon
 HOT = 20_000               # entries of a bucket from which its rows are salted
 SALTS = 64
 SIEVE = 1 << 28            # most bits of the sieve that tells which sets are needed
-PROGRESS = 0.05            # share of tests that must link for another round
+KEPT_WORDS = 200_000       # words whose hashes a worker keeps, for speed alone
+PROGRESS = 0.1             # share of tests that must link for another round
 
 #: Roles of an entry: whole or shrunk segment in the index, probes that count one or two, a
 #: probe with a shrunk segment; entries of frequent buckets are marked.
 WHOLE, SHRINK, ONE, TWO, SHORT, FREQUENT = 1, 2, 4, 8, 16, 32
 ROLE_BITS, SIZE_BITS = 6, 30
+LAST = 1 << 62             # cost of empty segments, which very many sets share
 
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _S29, _S32 = np.uint64(29), np.uint64(32)
@@ -53,12 +55,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S32)
 
 
+class _Hashes(dict):
+    """Hashes of words; those met first are kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < KEPT_WORDS:
+            self[word] = value
+        return value
+
+
+_hashes = _Hashes()
+
+
 def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
     """The distinct shingles of lower-cased words, as sorted 64-bit hashes."""
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     size = min(size, len(words))
     n = len(words) - size + 1
     out = np.full(n, size, np.uint64)
@@ -108,18 +123,19 @@ class Scheme:
         return self._cuts[band]
 
     def keys(self, held: np.ndarray, marks: np.ndarray, sums: np.ndarray, band: int) -> tuple[
-            np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of the whole segments, keys of their subsets with one shingle less, and those subsets' segments."""
+            np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys and sizes of the whole segments, keys of their subsets with one shingle less, and those subsets' segments."""
         cuts, shrunk = self.cuts(band), self.segments(band)[1]
         ends = np.concatenate(([0], np.searchsorted(held, cuts), [len(held)]))
         whole = sums[ends[1:]] - sums[ends[:-1]] + self._salts[band]
-        of = np.repeat(np.arange(shrunk), np.diff(ends[:shrunk + 1]))
-        return _mix(whole), _mix(whole[of] - marks[:ends[shrunk]]), of
+        sizes = np.diff(ends)
+        of = np.repeat(np.arange(shrunk), sizes[:shrunk])
+        return _mix(whole), sizes, _mix(whole[of] - marks[:ends[shrunk]]), of
 
 
 def _sums(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     marks = _mix(held + _P1)
-    return marks, np.concatenate(([0], np.cumsum(marks, dtype=np.uint64))).astype(np.uint64)
+    return marks, np.concatenate((np.zeros(1, np.uint64), np.cumsum(marks, dtype=np.uint64)))
 
 
 def _digest(held: np.ndarray, marks: np.ndarray, seed: int) -> tuple[int, int]:
@@ -168,7 +184,7 @@ def _prints(id_type: pa.DataType, size: int, percent: int, seed: int):
                 marks, sums = _sums(held)
                 rows.append((len(held), *(_digest(held, marks, seed) if len(held) else (None, None))))
                 if len(held):
-                    whole, less, _ = scheme.keys(held, marks, sums, scheme.band(len(held)))
+                    whole, _, less, _ = scheme.keys(held, marks, sums, scheme.band(len(held)))
                     for at in _counters(np.concatenate((whole, less))):
                         np.add.at(counts, at, 1)
             n, cls, check = zip(*rows, strict=True) if rows else ((), (), ())
@@ -207,15 +223,15 @@ def _entries(shared, size: int, percent: int, seed: int):
                 *lower, own = scheme.bands(n)
                 for band in (own, *lower):
                     need = scheme.apart(n, min(n, scheme.edges[band + 1] - 1)) + 1
-                    whole, less, of = scheme.keys(held, marks, sums, band)
-                    one, short = cost(whole), cost(less)
+                    whole, sizes, less, of = scheme.keys(held, marks, sums, band)
+                    one, short = np.where(sizes, cost(whole), LAST), cost(less)
                     two = np.bincount(of, short, minlength=scheme.segments(band)[1])
                     given = allot(one, two, need, cheap)
                     roles = np.where(given == 1, ONE, np.where(given == 2, TWO, 0)) | (WHOLE if band == own else 0)
                     less_roles = np.where(given[of] == 2, SHORT, 0) | (SHRINK if band == own else 0)
                     roles = np.concatenate((roles, less_roles))
                     keys = np.concatenate((whole, less))
-                    roles |= np.where(np.concatenate((one, short)) > hot, FREQUENT, 0)
+                    roles |= np.where(np.concatenate((cost(whole), short)) > hot, FREQUENT, 0)
                     told = roles & ~FREQUENT != 0
                     base = (int(given.sum()) << ROLE_BITS + SIZE_BITS) | n << ROLE_BITS
                     out.append((keys[told], np.full(told.sum(), cls, np.int64), base | roles[told]))
@@ -308,12 +324,32 @@ def _met(entries: DataFrame) -> DataFrame:
             .select("key", "cls", "info"))
 
 
+def _promising(met: DataFrame, percent: int) -> DataFrame:
+    """The entries without those of classes that meet others too seldom for any link.
+
+    What a probe has allotted beyond what similar sets may differ in, it must meet. In
+    its own band that holds for both ends of a link; of other bands' classes, those stay
+    that share a bucket with such a probe from above.
+    """
+    told = met.withColumns({
+        "n": F.expr(f"(info >> {ROLE_BITS}) & {(1 << SIZE_BITS) - 1}"),
+        "given": F.expr(f"info >> {ROLE_BITS + SIZE_BITS}"), "own": _role(WHOLE, SHRINK)})
+    met_so_far = F.sum(F.when(_role(ONE), 1).when(_role(TWO, SHORT), 2).otherwise(0))
+    apart = F.floor(2 * F.col("n") * (100 - percent) / (100 + percent))
+    enough = (told.groupBy("cls", "n", "given", "own").agg(met_so_far.alias("got"))
+              .filter(F.col("got") >= F.col("given") - apart).select("cls", "given", "own", F.lit(True).alias("enough")))
+    told = settle(told.join(enough, ["cls", "given", "own"], "left").drop("n", "given"), "told")
+    above = told.filter("enough and not own").select("key").distinct()
+    seldom = told.filter("enough is null and own").join(above, "key", "left_semi")
+    return told.filter("enough").unionByName(seldom).select("key", "cls", "info")
+
+
 def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFrame:
     """(cls, root) of classes that are linked to others, from their ``entries`` (key, cls, info).
 
     ``sets_of`` gives the sets (cls, held) of a table of classes.
     """
-    met = settle(_met(entries), "met")
+    met = settle(_promising(settle(_met(entries), "met"), percent), "met")
     sets = settle(sets_of(settle(met.select("cls").distinct(), "needed")).dropDuplicates(["cls"]), "sets")
     roots, tested, links = None, None, None
     while True:
