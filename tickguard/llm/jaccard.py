@@ -37,7 +37,9 @@ SHRUNK = 4                 # segments of a band whose subsets are indexed, beyon
 HOT = 20_000               # entries of a bucket from which its rows are salted
 SALTS = 64
 SIEVE = 1 << 28            # most bits of the sieve that tells which sets are needed
-KEPT_WORDS = 200_000       # words whose hashes a worker keeps, for speed alone
+LONG_WORD = 256            # bytes
+CELL = 512                 # classes of either end whose pairs are verified together
+PIECE = 1 << 22            # bytes of a text that are hashed at once
 PROGRESS = 0.1             # share of tests that must link for another round
 
 #: Roles of an entry: whole or shrunk segment in the index, probes that count one or two, a
@@ -55,32 +57,66 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S32)
 
 
-class _Hashes(dict):
-    """Hashes of words; those met first are kept."""
+_SPACES = np.zeros(256, bool)
+_SPACES[[32, 9, 10, 11, 12, 13]] = True
+_LETTERS = _mix(np.arange(1, 257, dtype=np.uint64) * _P1)
+_POWERS = np.cumprod(np.full(LONG_WORD, _P2 | np.uint64(1), np.uint64), dtype=np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < KEPT_WORDS:
-            self[word] = value
-        return value
 
+def _words(raw: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words in lower-cased bytes: polynomials of their letters.
 
-_hashes = _Hashes()
+    Words of ``LONG_WORD`` bytes and more, on which such a polynomial could be
+    led astray, are hashed on their own.
+    """
+    inside = ~_SPACES[raw]
+    edged = np.zeros(len(raw) + 2, bool)
+    edged[1:-1] = inside
+    turns = np.flatnonzero(edged[1:] != edged[:-1])
+    begins, sizes = turns[::2], turns[1::2] - turns[::2]
+    if not len(begins):
+        return np.zeros(0, np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(starts, sizes)
+    letters = _LETTERS[raw[inside]] * _POWERS[np.minimum(place, LONG_WORD - 1)]
+    hashes = _mix(np.add.reduceat(letters, starts) + sizes.astype(np.uint64))
+    for i in np.flatnonzero(sizes >= LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(raw[begins[i]:begins[i] + sizes[i]].tobytes())
+    return hashes
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the lower-cased words in order; texts are read piece by piece, cut at white space."""
+    raw = np.frombuffer(text.lower(), np.uint8)
+    parts, at = [], 0
+    while len(raw) - at > PIECE:
+        end, reach = at, PIECE
+        while end <= at < at + reach <= len(raw):
+            spaces = np.flatnonzero(_SPACES[raw[at:at + reach]])
+            end, reach = (at + int(spaces[-1]) + 1, reach) if len(spaces) else (at, 2 * reach)
+        if end <= at:
+            break
+        parts.append(_words(raw[at:end]))
+        at = end
+    parts.append(_words(raw[at:]))
+    return np.concatenate(parts) if len(parts) > 1 else parts[0]
 
 
 def shingles(text: bytes, size: int = SIZE) -> np.ndarray:
     """The distinct shingles of lower-cased words, as sorted 64-bit hashes."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    size = min(size, len(words))
-    n = len(words) - size + 1
+    hashes = word_hashes(text)
+    if not len(hashes):
+        return hashes
+    size = min(size, len(hashes))
+    n = len(hashes) - size + 1
     out = np.full(n, size, np.uint64)
     for i in range(size):
         out = (out ^ hashes[i:i + n]) * _P1
         out ^= out >> _S32
-    return np.unique(_mix(out))
+    out = np.sort(_mix(out))
+    new = np.ones(n, bool)
+    np.not_equal(out[1:], out[:-1], out=new[1:])
+    return out[new]
 
 
 class Scheme:
@@ -148,8 +184,8 @@ def _digest(held: np.ndarray, marks: np.ndarray, seed: int) -> tuple[int, int]:
 
 def _counters(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The counters of keys in the two rows of the sketch."""
-    return (keys % np.uint64(SKETCH)).astype(np.int64), (
-        SKETCH + (keys >> np.uint64(40)) % np.uint64(SKETCH)).astype(np.int64)
+    mask = np.uint64(SKETCH - 1)
+    return (keys & mask).view(np.int64), (keys >> np.uint64(40) & mask).view(np.int64) + SKETCH
 
 
 def allot(one: np.ndarray, two: np.ndarray, need: int, cheap: float) -> np.ndarray:
@@ -274,8 +310,8 @@ def _needed(sieve, size: int, seed: int):
 
 def _sieve(classes: DataFrame) -> np.ndarray:
     """A bitmap of bounded size in which every class (cls) has its bit."""
-    bits = 1 << 16
-    while bits < SIEVE and bits < 16 * classes.count():
+    bits, count = 1 << 16, classes.count()
+    while bits < SIEVE and bits < 64 * count:
         bits *= 2
     words = classes.select(F.expr(f"pmod(cls, {bits}) div 32").alias("word"),
                            F.expr(f"shiftleft(1L, cast(pmod(cls, {bits}) % 32 as int))").alias("bit"))
@@ -285,26 +321,62 @@ def _sieve(classes: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _common(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                     for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int64())
+def _similar(percent: int):
+    def similar(_, pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        """The similar ones among the pairs of a cell."""
+        held = {c: np.frombuffer(h, np.uint64) for c, h in zip(
+            sets["cls"].to_pylist(), sets["held"].to_pylist(), strict=True)}
+        keep = []
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist(), strict=True):
+            x, y = held[a], held[b]
+            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                keep.append(False)
+                continue
+            both = np.concatenate((x, y))
+            both.sort()
+            common = int((both[1:] == both[:-1]).sum())
+            keep.append(100 * common >= percent * (len(both) - common))
+        return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return similar
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) that are similar."""
-    both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("held").alias("x")), "a")
-            .join(sets.select(F.col("cls").alias("b"), F.col("held").alias("y")), "b"))
-    total = F.floor((F.octet_length("x") + F.octet_length("y")) / 8)
-    least = F.least(F.octet_length("x"), F.octet_length("y"))
-    return (both.filter(100 * least >= percent * F.greatest(F.octet_length("x"), F.octet_length("y")))
-            .withColumn("common", F.arrow_udf(_common, "bigint")("x", "y"))
-            .filter(100 * F.col("common") >= percent * (total - F.col("common"))).select("a", "b"))
+    """The ``pairs`` (a, b) that are similar.
+
+    Pairs are dealt over cells by a block of either end, and a set goes once to each cell
+    that has a pair of it: a crowd of n classes moves n * n / CELL sets, not n * n.
+    """
+    blocks = 1 + sets.count() // CELL
+    cell = (F.pmod(F.xxhash64("a"), F.lit(blocks)) * blocks + F.pmod(F.xxhash64("b"), F.lit(blocks))).alias("cell")
+    dealt = pairs.select(cell, "a", "b")
+    there = (dealt.select(F.col("cell").alias("place"), F.explode(F.array("a", "b")).alias("cls")).distinct()
+             .join(sets, "cls"))
+    return (dealt.groupBy("cell").cogroup(there.groupBy("place"))
+            .applyInArrow(_similar(percent), "a long, b long"))
 
 
 def _role(*bits: int) -> Column:
     return F.col("info").bitwiseAND(F.lit(sum(bits)).cast("long")) != 0
 
 
+def _packed(name: str) -> Column:
+    """What an entry's info tells of its class: the size, or the sum allotted."""
+    return F.expr(f"(info >> {ROLE_BITS}) & {(1 << SIZE_BITS) - 1}" if name == "n"
+                  else f"info >> {ROLE_BITS + SIZE_BITS}").alias(name)
+
+
+def _apart(sizes: Column, percent: int) -> Column:
+    """The most shingles in which two sets of these sizes together may differ."""
+    return F.floor(sizes * (100 - percent) / (100 + percent))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return rows.withColumn("root", F.col("cls"))
+    return rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+
+
 def _met(entries: DataFrame) -> DataFrame:
     """The entries of buckets in which a probe meets an index entry of another class.
 
@@ -331,13 +403,11 @@ def _promising(met: DataFrame, percent: int) -> DataFrame:
     its own band that holds for both ends of a link; of other bands' classes, those stay
     that share a bucket with such a probe from above.
     """
-    told = met.withColumns({
-        "n": F.expr(f"(info >> {ROLE_BITS}) & {(1 << SIZE_BITS) - 1}"),
-        "given": F.expr(f"info >> {ROLE_BITS + SIZE_BITS}"), "own": _role(WHOLE, SHRINK)})
+    told = met.select("*", _packed("n"), _packed("given"), _role(WHOLE, SHRINK).alias("own"))
     met_so_far = F.sum(F.when(_role(ONE), 1).when(_role(TWO, SHORT), 2).otherwise(0))
-    apart = F.floor(2 * F.col("n") * (100 - percent) / (100 + percent))
     enough = (told.groupBy("cls", "n", "given", "own").agg(met_so_far.alias("got"))
-              .filter(F.col("got") >= F.col("given") - apart).select("cls", "given", "own", F.lit(True).alias("enough")))
+              .filter(F.col("got") >= F.col("given") - _apart(2 * F.col("n"), percent))
+              .select("cls", "given", "own", F.lit(True).alias("enough")))
     told = settle(told.join(enough, ["cls", "given", "own"], "left").drop("n", "given"), "told")
     above = told.filter("enough and not own").select("key").distinct()
     seldom = told.filter("enough is null and own").join(above, "key", "left_semi")
@@ -350,25 +420,31 @@ def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFra
     ``sets_of`` gives the sets (cls, held) of a table of classes.
     """
     met = settle(_promising(settle(_met(entries), "met"), percent), "met")
-    sets = settle(sets_of(settle(met.select("cls").distinct(), "needed")).dropDuplicates(["cls"]), "sets")
+    told = met.select("key", "cls", _packed("n"), _packed("given"))
     roots, tested, links = None, None, None
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        sets = settle(sets_of(settle(ends, "needed")).dropDuplicates(["cls"]), "sets")
+        return settle(_verified(pairs, sets, percent), "links")
+
     while True:
-        now = met.select("key", "cls").distinct()
-        if roots is not None:
-            now = now.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        else:
-            now = now.withColumn("root", F.col("cls"))
+        # Of each bucket, one class of the least group; classes of other groups that meet one often test it.
+        now = _rooted(told, roots)
+        turn = F.struct("root", F.xxhash64("cls", F.lit(0 if tested is None else len(tested.inputFiles()))))
         ends = (now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                       F.min_by("cls", "root").alias("one"), F.max_by("cls", "root").alias("two"))
-                .filter("low <> high"))
-        other = F.when(F.col("root") != F.col("low"), F.col("one")).otherwise(F.col("two"))
-        often = (now.join(ends, "key").select(F.col("cls").alias("b"), other.alias("a"))
-                 .groupBy("b", "a").agg(F.count(F.lit(1)).alias("times")))
+                                       F.min_by("cls", turn).alias("a")).filter("low <> high"))
+        often = (now.join(ends, "key").filter("root <> low").groupBy(F.col("cls").alias("b"), "a")
+                 .agg(F.count_distinct("key").alias("times"), F.max("given").alias("given"), F.first("n").alias("n"))
+                 .filter(2 * F.col("times") >= F.col("given") - _apart(2 * F.col("n"), percent)))
         if tested is not None:
             often = often.join(tested, ["a", "b"], "left_anti")
         pairs = settle(often.groupBy("b").agg(F.max_by("a", "times").alias("a")).select("a", "b"), "pairs")
-        found = settle(_verified(pairs, sets, percent), "links")
-        count, new = pairs.count(), found.count()
+        count = pairs.count()
+        if not count:
+            break
+        found = verified(pairs)
+        new = found.count()
         tested = pairs if tested is None else tested.unionByName(pairs)
         if new:
             links = found if links is None else links.unionByName(found)
@@ -376,14 +452,9 @@ def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFra
         if new <= PROGRESS * count:
             break
 
-    now = met
-    if roots is not None:
-        now = now.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    else:
-        now = now.withColumn("root", F.col("cls"))
+    now = _rooted(met.select("*", _packed("n")), roots)
     mixed = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    now = settle(now.join(mixed.select("key"), "key")
-                 .withColumn("n", F.expr(f"(info >> {ROLE_BITS}) & {(1 << SIZE_BITS) - 1}")), "mixed")
+    now = settle(now.join(mixed.select("key"), "key"), "mixed")
     x = now.filter(_role(WHOLE, SHRINK)).select("key", *[F.col(c).alias(f"{c}_x") for c in ("cls", "root", "info", "n")])
     y = now.filter(_role(ONE, TWO, SHORT))
     whole, shrunk = (F.expr(f"info_x & {bit} <> 0") for bit in (WHOLE, SHRINK))
@@ -392,13 +463,12 @@ def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFra
     near = (100 * F.col("n_x") >= percent * F.col("n")) & (F.col("root") != F.col("root_x")) & hits & larger
     meetings = (x.join(y, "key").filter(near).groupBy(F.col("cls_x").alias("a"), F.col("cls").alias("b")).agg(
         F.sum(F.when(_role(ONE), 1).otherwise(2)).alias("got"), F.first("n_x").alias("n_x"), F.first("n").alias("n"),
-        F.max(F.expr(f"info >> {ROLE_BITS + SIZE_BITS}")).alias("given")))
-    apart = F.floor((F.col("n") + F.col("n_x")) * (100 - percent) / (100 + percent))
-    pairs = meetings.filter(F.col("got") >= F.col("given") - apart).select("a", "b")
+        F.max(_packed("given")).alias("given")))
+    pairs = meetings.filter(F.col("got") >= F.col("given") - _apart(F.col("n") + F.col("n_x"), percent)).select("a", "b")
     if tested is not None:
         pairs = (pairs.join(tested, ["a", "b"], "left_anti")
                  .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
-    found = settle(_verified(settle(pairs, "pairs"), sets, percent), "links")
+    found = verified(settle(pairs, "pairs"))
     links = found if links is None else links.unionByName(found)
     return components(links).withColumnRenamed("node", "cls")
 
