@@ -60,6 +60,7 @@ class FeedRate:
 
     files_per_trigger: int = 10
     messages_per_trigger: int = 1000
+    messages_per_shard: int = 100
     trigger_s: int = 10
 
     @property

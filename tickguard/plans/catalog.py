@@ -20,9 +20,11 @@ from tickguard.plans import reports
 from tickguard.schema import VOLATILITY_ALERT, ZSCORE_ALERT
 from tickguard.session import fresh_dir, settle, stream_session
 from tickguard.sources import alerts as alert_files
+from tickguard.sources import message_log
 from tickguard.sources import trades as feed
 from tickguard.sources.tables import events_as_trades, stream_events_as_trades
-from tickguard.streaming import jobs, sinks
+from tickguard.streaming import jobs, late, sinks
+from tickguard.streaming.trailing import trailing_zscore_stream
 
 SPEC = WindowSpec(length_s=6 * 3600, slide_s=3600, lateness_s=3600)
 MONTH = WindowSpec(length_s=6 * 3600, slide_s=3600, lateness_s=60 * 86400)
@@ -508,6 +510,55 @@ def stream_restart_idempotent(spark, sf):
     return alert_files.read_alerts(spark, out, ZSCORE_ALERT).select("batch_id", *zscore.COLUMNS)
 
 
+@query
+def stream_zscore_trailing(spark, sf):
+    """The trailing detector on a stream: the trades of closed blocks, each against its own range."""
+    out, state = scratch(spark, "alerts", "state")
+    trades = stream_events_as_trades(stream_session(spark), sf)
+    found = trailing_zscore_stream(trades, 6 * 3600, "1 hour", Z_RULE, salts=2)
+    jobs.drain(found.writeStream.outputMode("append").format("parquet")
+               .option("path", out).option("checkpointLocation", state))
+    return spark.read.schema(found.schema).parquet(out).select("event_id", *zscore.COLUMNS)
+
+
+@query
+def stream_late_routed(spark, sf):
+    """Error trades arrive after all others: those behind the watermark go to the late side."""
+    raw, out, state = scratch(spark, "raw", "routed", "state")
+    trades = events_as_trades(spark, sf).drop("event_id")
+    stream = stream_session(spark)
+    for lot in (F.col("symbol") != "error", F.col("symbol") == "error"):
+        sinks.write_lines(trades.filter(lot), raw)
+        jobs.drain(late.routing_job(_raw_stream(stream, raw), out, state, "1 hour"))
+    return late.read_routed(spark, out, trades)
+
+
+@query
+def message_log_replay(spark, sf):
+    """A keyed log read from both start positions, in polls, with a restart in the middle.
+
+    The first half is logged, then both streams begin; the second half is logged
+    between their first run and their second one on the same checkpoints.
+    """
+    (log,) = scratch(spark, "log")
+    trades = events_as_trades(spark, sf)
+    stream = stream_session(spark)
+    cut = F.lit(SPLIT).cast("timestamp")
+    rate = FeedRate(messages_per_shard=2500)
+    places = {start: scratch(spark, "out", "state", "positions") for start in feed.START_POSITIONS}
+    for lot in (F.col("event_time") < cut, F.col("event_time") >= cut):
+        messages = sinks.keyed_messages(trades.filter(lot), "event_time", "event_id")
+        message_log.append_messages(messages, log, 8, "event_time", "event_id")
+        for start, (out, state, positions) in places.items():
+            read = message_log.stream_log(stream, log, positions, start, rate)
+            jobs.catch_up(read.writeStream.format("parquet").option("path", out)
+                          .option("checkpointLocation", state))
+    first, second = (spark.read.schema(message_log.MESSAGE).parquet(out).select(F.lit(start).alias("start"), "value")
+                     for start, (out, _, _) in places.items())
+    lines = feed.readable(feed.parse_lines(first.unionByName(second)))
+    return feed.to_transactions(lines, "start")
+
+
 @query
 def stream_json_lots(spark, sf):
     """The relay: a stream of trades into JSON-lines files, read back as a table."""

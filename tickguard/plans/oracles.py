@@ -285,6 +285,27 @@ WHERE symbol <> 'error' OR window_end > (
         "event_time >= TIMESTAMP '2024-01-16', symbol", MILLIS,
         ", CAST(event_time >= TIMESTAMP '2024-01-16' AS BIGINT) AS batch_id")}
 SELECT batch_id, {Z_COLUMNS} FROM scored WHERE abs(z_score) > 3 AND batch_id = 1""",
+    "stream_zscore_trailing": f"""WITH {TRADES}, grouped AS (
+  SELECT *, avg(price) OVER w AS mean_price, stddev_samp(price) OVER w AS stddev_price,
+         count(price) OVER w AS count_trades
+  FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY event_time
+       RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)),
+scored AS (
+  SELECT *, (price - mean_price) / stddev_price AS z_score FROM grouped
+  WHERE count_trades >= 5 AND stddev_price > 0)
+SELECT event_id, {Z_COLUMNS} FROM scored WHERE abs(z_score) > 3
+  AND date_trunc('hour', event_time) + INTERVAL 1 HOUR
+      <= (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 1 HOUR FROM trades)""",
+    "stream_late_routed": f"""WITH {MILLIS}
+SELECT event_time, symbol, price, volume, CAST(symbol = 'error' AS BIGINT) AS batch_id,
+       CASE WHEN symbol = 'error' AND event_time < (
+         SELECT max(event_time) - INTERVAL 1 HOUR FROM trades WHERE symbol <> 'error')
+       THEN 'late' ELSE 'kept' END AS side FROM trades""",
+    "message_log_replay": f"""WITH {MILLIS}
+SELECT 'TRIM_HORIZON' AS "start", event_time, symbol, price, volume FROM trades
+UNION ALL
+SELECT 'LATEST', event_time, symbol, price, volume FROM trades WHERE event_id IN (
+  SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-16')""",
     "stream_json_lots": f"WITH {MILLIS} SELECT event_time, symbol, price, volume FROM trades",
     "stream_dedup_zscore": f"""WITH {SLIDING}
 SELECT DISTINCT event_time, symbol, price, volume FROM sliding""",

@@ -104,6 +104,20 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def catch_up(writer: DataStreamWriter) -> StreamingQuery:
+    """Run in polls until a poll finds nothing new, then stop.
+
+    For sources that hand out a limited range a poll, which a run over everything
+    available would take as all there is.
+    """
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 class RunTotals(StreamingQueryListener):
     """Batches, input rows and late rows of every query, for as long as the application lives.
 

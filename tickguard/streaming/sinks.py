@@ -70,11 +70,11 @@ def stream_to_lines(trades: DataFrame, path: str, checkpoint: str):
             .option("path", path).option("checkpointLocation", checkpoint))
 
 
-def keyed_messages(trades: DataFrame) -> DataFrame:
+def keyed_messages(trades: DataFrame, *keep: str) -> DataFrame:
     """key and value of the keyed stream: the key is the symbol."""
-    raw = to_raw(trades)
+    raw = to_raw(trades, *keep)
     return raw.select(F.col("s").alias("key"),
-                      F.to_json(F.struct("s", "p", "v", "t", "c")).alias("value"))
+                      F.to_json(F.struct("s", "p", "v", "t", "c")).alias("value"), *keep)
 
 
 def in_symbol_order(trades: DataFrame, *ties: str) -> DataFrame:
