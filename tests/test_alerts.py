@@ -96,6 +96,28 @@ def test_flat_files_match_by_name_and_odd_ones_are_listed(spark, tmp_path):
         ("zscore_alerts_batch_4.csv", 1), ("zscore_alerts_batch_5.csv", 1)]
 
 
+def test_flat_files_with_quotes_line_ends_and_other_columns(spark, tmp_path):
+    names = ZSCORE_ALERT.names
+    when = "2024-01-01 00:00:00.858"
+    rest = "10.0,1.0,5.0,1.0,20,5.0"
+    def save(name, *lines):
+        (tmp_path / f"zscore_alerts_batch_{name}.csv").write_text("\n".join(lines) + "\n")
+    save("1", ",".join(names), f'{when},"A,B",{rest}', f'{when},"C ""D""",{rest}')
+    save("2", ",".join(names), f'{when},"E\nF",{rest}')
+    save("3", "note," + ",".join(names), f'"odd, this",{when},G,{rest}')
+    save("4", "symbol,z_score", "H,5.0", "I,x")
+    catalogue = files.header_catalogue(spark, str(tmp_path), "zscore").collect()
+    assert sorted(len(row.files) for row in catalogue) == [1, 1, 2]
+    back = files.read_flat_alerts(spark, str(tmp_path), "zscore")
+    assert rows_of(back, "batch_id", "symbol", "price", "z_score") == [
+        (1, "A,B", 10.0, 5.0), (1, 'C "D"', 10.0, 5.0), (2, "E\nF", 10.0, 5.0), (3, "G", 10.0, 5.0),
+        (4, "H", None, 5.0), (4, "I", None, None)]
+    assert back.columns == [*names, "batch_id"]
+    extras = files.read_flat_alerts(spark, str(tmp_path), "zscore", extras=True)
+    assert rows_of(extras.filter("note is not null"), "symbol", "note") == [("G", "odd, this")]
+    assert files.unreadable_flat_alerts(spark, str(tmp_path), "zscore").count() == 0
+
+
 def test_folders_that_are_not_there_yet_have_no_alerts(spark, tmp_path):
     absent = str(tmp_path / "absent")
     assert files.read_flat_alerts(spark, absent, "zscore").count() == 0

@@ -301,16 +301,16 @@ def alerts_union(spark, sf):
     }).select("family", *volatility.COLUMNS, "event_time", "price", "volume", "z_score")
 
 
-def _flat_file(df: DataFrame, folder: str, name: str) -> None:
-    """One CSV file of the flat layout, as a recorder of single batches leaves it."""
+def _flat_files(df: DataFrame, folder: str, stem: str) -> None:
+    """CSV files of the flat layout, as a recorder of single batches leaves them: one a task."""
     spark = df.sparkSession
     (made,) = scratch(spark, "flat")
-    df.coalesce(1).write.option("header", "true").option("timestampFormat", sinks.STAMP).csv(made)
+    df.write.option("header", "true").option("timestampFormat", sinks.STAMP).csv(made)
     hadoop = spark._jvm.org.apache.hadoop.fs
     files = hadoop.Path(made).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(hadoop.Path(folder))
-    part = files.globStatus(hadoop.Path(f"{made}/part-*.csv"))[0].getPath()
-    files.rename(part, hadoop.Path(f"{folder}/{name}"))
+    for k, part in enumerate(files.globStatus(hadoop.Path(f"{made}/part-*.csv"))):
+        files.rename(part.getPath(), hadoop.Path(f"{folder}/{stem}_{k}.csv"))
 
 
 @query
@@ -320,10 +320,10 @@ def alert_files_flat(spark, sf):
     volatile = volatility.volatility_alerts(events_as_trades(spark, sf), SPEC, RULE)
     scored = _z(spark, sf, batch="day")
     chosen = F.col("symbol").isin(CHOSEN)
-    _flat_file(volatile.filter(chosen), folder, "alerts_batch_1_a.csv")
-    _flat_file(volatile.filter(~chosen).drop("count_trades"), folder, "alerts_batch_2_b.csv")
-    _flat_file(scored.filter(chosen), folder, "zscore_alerts_batch_3_a.csv")
-    _flat_file(scored.filter(~chosen).select(*reversed(scored.columns)), folder, "zscore_alerts_batch_4_b.csv")
+    _flat_files(volatile.filter(chosen), folder, "alerts_batch_1_a")
+    _flat_files(volatile.filter(~chosen).drop("count_trades"), folder, "alerts_batch_2_b")
+    _flat_files(scored.filter(chosen), folder, "zscore_alerts_batch_3_a")
+    _flat_files(scored.filter(~chosen).select(*reversed(scored.columns)), folder, "zscore_alerts_batch_4_b")
     return alert_files.union_alerts({
         family: alert_files.read_flat_alerts(spark, folder, family) for family in alert_files.FAMILIES
     }).select("family", "batch_id", *volatility.COLUMNS, "event_time", "price", "volume", "z_score")
@@ -436,17 +436,17 @@ def _raw_stream(spark, path, files: int = 1000) -> DataFrame:
 def stream_volatility_update(spark, sf):
     """JSON lines through the update-mode detector, in three batches that revise the same windows.
 
-    Every third trade goes to the same lot, a file, and a trigger takes one file:
-    nearly every window is emitted three times. Returned is the latest alert of each
-    window, and how often the window alerted.
+    Every third trade goes to the same lot, and each lot is a run of its own on one
+    checkpoint: nearly every window is emitted three times. Returned is the latest alert of
+    each window, and how often the window alerted.
     """
     raw, out, state = scratch(spark, "raw", "alerts", "state")
     trades = events_as_trades(spark, sf)
     stream = stream_session(spark)
+    stream.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")   # a lot is a batch
     for lot in range(3):
-        # One file a lot, so that a trigger is a lot: the lots are the feature here.
-        sinks.write_lines(trades.filter(F.col("event_id") % 3 == lot).coalesce(1), raw)
-    jobs.drain(jobs.volatility_job(_raw_stream(stream, raw, 1), out, state, MONTH, RULE))
+        sinks.write_lines(trades.filter(F.col("event_id") % 3 == lot), raw)
+        jobs.drain(jobs.volatility_job(_raw_stream(stream, raw, 1_000_000), out, state, MONTH, RULE))
     alerts = alert_files.read_alerts(spark, out, VOLATILITY_ALERT)
     often = alerts.groupBy(*dedup.WINDOW_KEY).agg(F.count(F.lit(1)).alias("emitted"))
     return (dedup.latest_revision(alerts).join(often, dedup.WINDOW_KEY)
