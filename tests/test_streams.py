@@ -1,20 +1,25 @@
 """Streams against their table twins, late data, restarts and summaries."""
 
 import json
+import random
 import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickguard.operators import dedup
 from tickguard.operators import volatility as V
 from tickguard.operators import zscore as Z
+from tickguard.operators.trailing import trailing_zscores
 from tickguard.params import FeedRate, VolatilityRule, WindowSpec, ZScoreRule
 from tickguard.schema import VOLATILITY_ALERT, ZSCORE_ALERT
 from tickguard.session import shared_root, stream_session
+from tickguard.sources import message_log
 from tickguard.sources import trades as feed
 from tickguard.sources.alerts import read_alerts
-from tickguard.streaming import jobs, sinks
+from tickguard.streaming import jobs, late, sinks
+from tickguard.streaming.trailing import trailing_zscore_stream
 from support import at, rows_of
 
 EPOCH_MS = 1_704_067_200_000
@@ -195,3 +200,88 @@ def test_relay_writes_complete_lots(lots):
     jobs.drain(sinks.stream_to_lines(lots.stream(), lots.path("relay"), lots.path("state")))
     back = feed.to_transactions(feed.readable(feed.read_lines(lots.spark, lots.path("relay"))))
     assert rows_of(back) == rows_of(lots.table())
+
+
+def log_of(spark, rows, root, shards=2, **sizes):
+    messages = spark.createDataFrame([(k, f"{k}{i}", i) for i, k in rows], "key string, value string, i long")
+    message_log.append_messages(messages, root, shards, "i", **sizes)
+
+
+def test_message_log_polls_within_its_limit_and_goes_on_after_a_restart(spark, tmp_path):
+    root, out, state, kept = (str(tmp_path / n) for n in ("log", "out", "state", "kept"))
+    session = stream_session(spark, 2)
+    log_of(spark, [(i, "A" if i % 3 else "B") for i in range(300)], root, per_segment=70)
+    table = message_log.read_log(spark, root)
+    assert table.count() == 300
+    for rows in table.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("sequence", "value")))).collect():
+        numbers = [r.sequence for r in rows[1]]
+        assert numbers == list(range(len(numbers)))                       # gapless, and a key in order:
+        for key in "AB":
+            mine = [int(r.value[1:]) for r in rows[1] if r.value.startswith(key)]
+            assert mine == sorted(mine)
+
+    def run():
+        read = message_log.stream_log(session, root, kept, "TRIM_HORIZON", FeedRate(messages_per_shard=40))
+        return jobs.catch_up(read.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
+
+    first = run()
+    sizes = [p["numInputRows"] for p in first.recentProgress if p["numInputRows"]]
+    assert sum(sizes) == 300 and max(sizes) <= 80
+    log_of(spark, [(i, "A") for i in range(300, 330)], root)
+    run()
+    assert rows_of(spark.read.parquet(out), "value") == sorted(
+        (f"{'A' if i % 3 or i >= 300 else 'B'}{i}",) for i in range(330))
+
+
+def test_message_log_from_its_end_and_unknown_positions(spark, tmp_path):
+    root, out, state, kept = (str(tmp_path / n) for n in ("log", "out", "state", "kept"))
+    session = stream_session(spark, 2)
+    log_of(spark, [(i, "A") for i in range(10)], root)
+    for lot in (None, range(10, 15)):
+        if lot:
+            log_of(spark, [(i, "A") for i in lot], root)
+        read = message_log.stream_log(session, root, kept)
+        jobs.catch_up(read.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
+    assert rows_of(spark.read.schema(message_log.MESSAGE).parquet(out), "value") == [(f"A{i}",) for i in range(10, 15)]
+    assert message_log.read_log(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(Exception, match="startingPosition"):
+        message_log.LogStream({"path": root, "startingposition": "MIDDLE"})
+
+
+def test_trailing_stream_over_lots_equals_the_table(lots):
+    rng = random.Random(5)
+    rule = ZScoreRule(1.5, 5)
+    rows = [("AB"[i % 2], rng.choice([10.0, 11.0, 30.0]), i * 7 + rng.random()) for i in range(300)]
+    ids = "xxhash64(symbol, price, event_time) AS event_id"
+    out, state = lots.path("out"), lots.path("state")
+    for lot in (rows[:120], rows[120:150], rows[150:]):
+        lots.add(lot)
+        found = trailing_zscore_stream(lots.stream().selectExpr("*", ids), 300, "30 seconds", rule, blocks=5, salts=2)
+        query = jobs.drain(found.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
+    table = trailing_zscores(lots.table().selectExpr("*", ids), 300, rule, blocks=5)
+    end = lots.table().agg(F.max("event_time")).first()[0]
+    closed = table.filter(F.timestamp_seconds(F.floor(F.unix_seconds("event_time") / 60) * 60 + 60)
+                          <= F.lit(end) - F.expr("INTERVAL 30 SECONDS"))
+    def told(df):
+        return rows_of(df.select("event_id", "count_trades", *[F.round(c, 6).alias(c) for c in ("mean_price", "z_score")]))
+    got = told(lots.spark.read.schema(found.schema).parquet(out))
+    assert got == told(closed) and len(got) > 10
+    kept = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert kept[-1] <= 2 * 2 * (5 + 3)               # symbols, salts, the blocks of a span and of the lateness
+
+
+def test_late_trades_go_to_their_side_and_replays_change_nothing(lots):
+    out, state = lots.path("routed"), lots.path("state")
+    for lot in ([("A", 1.0, 100)], [("A", 2.0, 60), ("A", 3.0, 71), ("B", 4.0, 200)], [("B", 5.0, 169), ("B", 6.0, 170)]):
+        lots.add(lot)
+        jobs.drain(late.routing_job(lots.stream(), out, state, "30 seconds"))
+    layout = lots.table()
+    routed = late.read_routed(lots.spark, out, layout)
+    assert rows_of(routed, "side", "price") == [
+        ("kept", 1.0), ("kept", 3.0), ("kept", 4.0), ("kept", 6.0), ("late", 2.0), ("late", 5.0)]
+    assert rows_of(routed.select(*layout.columns)) == rows_of(layout)
+    mark = late._mark(lots.spark, f"{out}/marks", 1, "30 seconds")
+    again = late.route(layout.filter("price in (2, 3, 4)"), mark)
+    assert rows_of(again.filter("late"), "price") == [(2.0,)]
+    assert rows_of(late.read_routed(lots.spark, out, layout, "late"), "price") == [(2.0,), (5.0,)]
+    assert late.read_routed(lots.spark, lots.path("none"), layout).count() == 0

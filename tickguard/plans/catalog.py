@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickguard.functions.scalars import second_stamp
-from tickguard.operators import dedup, quotes, volatility, zscore
+from tickguard.operators import dedup, latest, quotes, sketches, volatility, zscore
 from tickguard.operators.trailing import trailing_zscores
 from tickguard.operators.windows import sliding_stats
 from tickguard.params import FeedRate, VolatilityRule, WindowSpec, ZScoreRule
@@ -22,7 +22,7 @@ from tickguard.session import fresh_dir, settle, stream_session
 from tickguard.sources import alerts as alert_files
 from tickguard.sources import message_log
 from tickguard.sources import trades as feed
-from tickguard.sources.tables import events_as_trades, stream_events_as_trades
+from tickguard.sources.tables import EVENTS, events_as_trades, stream_events_as_trades
 from tickguard.streaming import jobs, late, sinks
 from tickguard.streaming.trailing import trailing_zscore_stream
 
@@ -191,6 +191,12 @@ def file_census(spark, sf):
                     (census == files.agg(F.sum("files")).scalar()).alias("all_counted")))
 
 
+@query
+def symbol_sequence(spark, sf):
+    """Every trade with its number in its symbol's order of time."""
+    return sinks.numbered(events_as_trades(spark, sf), "event_id").select("event_id", "symbol", "sequence")
+
+
 @query
 def keyed_layout(spark, sf):
     """The keyed messages as they lie: per symbol, how many carry an earlier time than one before them.
@@ -396,6 +402,72 @@ def price_box_stats(spark, sf):
     return reports.box_statistics(events_as_trades(spark, sf), "price")
 
 
+#: Ranges of days that the sketch store is asked for.
+RANGES = [("2024-01-01", "2024-01-31"), ("2024-01-05", "2024-01-05"), ("2024-01-10", "2024-01-19")]
+
+
+def _sketch_store(spark, sf, symbol: str = "event_type", distinct: str | None = None) -> DataFrame:
+    """The store after three batches, each of every third trade."""
+    (root,) = scratch(spark, "sketches")
+    trades = events_as_trades(spark, sf, symbol)
+    for lot in range(3):
+        sketches.add_batch(trades.filter(F.col("event_id") % 3 == lot), root, lot, distinct)
+    return sketches.read_store(spark, root)
+
+
+@query
+def price_sketch_ranges(spark, sf):
+    """Quartiles of ranges of days from stored sketches, each held against its exact rank.
+
+    Estimates depend on the sketch, so the rows tell whether each lies within the stated error:
+    the share of trades below it is not above the wanted one by more, nor the share up to it below.
+    """
+    store = _sketch_store(spark, sf)
+    trades = events_as_trades(spark, sf).withColumn("day", day_of())
+    made = []
+    for first, last in RANGES:
+        box = sketches.box(sketches.between(store, first, last), "symbol")
+        seen = sketches.between(trades, first, last).join(F.broadcast(box.select("symbol", "q1", "median", "q3")), "symbol")
+
+        def near(name, share):
+            below, upto = (F.count_if(F.col("price") < F.col(name)), F.count_if(F.col("price") <= F.col(name)))
+            wanted = F.lit(share) * F.count(F.lit(1))
+            slack = F.lit(sketches.RANK_ERROR) * F.count(F.lit(1)) + 1
+            return ((below <= wanted + slack) & (upto >= wanted - slack)).alias(f"{name}_near")
+
+        ranks = seen.groupBy("symbol").agg(near("q1", 0.25), near("median", 0.5), near("q3", 0.75))
+        made.append(box.join(ranks, "symbol").select(
+            F.lit(first).alias("first"), F.lit(last).alias("last"), "symbol", "n", "low", "high",
+            "q1_near", "median_near", "q3_near"))
+    return made[0].unionByName(made[1]).unionByName(made[2])
+
+
+@query
+def sketch_distinct_users(spark, sf):
+    """Distinct users of each kind of event and in all, from sketches merged over batches and days."""
+    (root,) = scratch(spark, "sketches")
+    users = spark.read.schema(EVENTS).parquet(f"{sf}/events.parquet").select(
+        "event_id", F.col("event_type").alias("symbol"), F.col("value").alias("price"),
+        F.col("ts").cast("timestamp").alias("event_time"), F.col("user_id").alias("user"))
+    for lot in range(3):
+        sketches.add_batch(users.filter(F.col("event_id") % 3 == lot), root, lot, "user")
+    told = sketches.distinct_count(sketches.read_store(spark, root), "symbol")
+    exact = users.groupBy("symbol").agg(F.count_distinct("user").alias("users"))
+    off = F.abs(F.col("distinct") - F.col("users")) / F.col("users")
+    return told.join(exact, "symbol").select("symbol", "users", (off <= sketches.DISTINCT_ERROR).alias("near"))
+
+
+@query
+def alert_latest_maintained(spark, sf):
+    """Revisions merged batch by batch, ten days of windows a batch and then all again, into the kept table."""
+    (root,) = scratch(spark, "latest")
+    revisions = settle(_revisions(spark, sf), "revisions")
+    for lot in (F.dayofmonth("window_start") < 11, F.col("batch_id") % 2 == 0, F.col("batch_id") % 2 == 1):
+        latest.merge_batch(revisions.filter(lot), root)
+    layout = ", ".join(f"`{n}` {k}" for n, k in revisions.dtypes)
+    return latest.read_latest(spark, root, layout).drop("day")
+
+
 @query
 def alert_histogram(spark, sf):
     return reports.histogram(settle(_z(spark, sf, batch="day")))

@@ -129,6 +129,9 @@ SELECT symbol, day, c, pc, o, h, l, {tidy("c - pc", "d")},
 SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS lot, true AS has_files, count(*) AS trades,
        true AS all_counted
 FROM trades GROUP BY 1""",
+    "symbol_sequence": f"""WITH {TRADES}
+SELECT event_id, symbol, row_number() OVER (PARTITION BY symbol ORDER BY event_time, event_id) AS sequence
+FROM trades""",
     "keyed_layout": f"""WITH {MILLIS}
 SELECT symbol AS key, count(*) AS messages, count(*) AS own_key, 0::BIGINT AS out_of_order,
        min(event_time) AS first_time, max(event_time) AS last_time FROM trades GROUP BY 1""",
@@ -201,6 +204,18 @@ SELECT window_start, window_end, {Z_COLUMNS} FROM (
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY window_start, symbol ORDER BY batch_id DESC) AS rn
   FROM revisions) WHERE rn = 1""",
+    "alert_latest_maintained": f"""WITH {REVISIONS}
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start, symbol ORDER BY batch_id DESC) AS rn
+  FROM revisions) WHERE rn = 1""",
+    "price_sketch_ranges": f"""WITH {TRADES}, ranges("first", "last") AS (
+  VALUES ('2024-01-01', '2024-01-31'), ('2024-01-05', '2024-01-05'), ('2024-01-10', '2024-01-19'))
+SELECT "first", "last", symbol, count(*) AS n, {tidy("min(price)", "low")}, {tidy("max(price)", "high")},
+       true AS q1_near, true AS median_near, true AS q3_near
+FROM trades JOIN ranges ON CAST(event_time AS DATE) BETWEEN CAST("first" AS DATE) AND CAST("last" AS DATE)
+GROUP BY ALL""",
+    "sketch_distinct_users": """SELECT event_type AS symbol, count(DISTINCT user_id) AS users, true AS near
+FROM events GROUP BY 1""",
     "alert_kpis": f"""WITH {Z_ALERTS}
 SELECT count(*) AS alerts, count(DISTINCT symbol) AS symbols,
        {tidy("max(abs(z_score))", "max_abs_z")},

@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -174,8 +175,18 @@ class MessageLog(DataSource):
         return LogStream(self.options)
 
 
+def _register(spark: SparkSession) -> None:
+    """Make the format known to this session, once; Spark registers with the thread's active one."""
+    spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
+    try:
+        spark.dataSource.register(MessageLog)
+    except AnalysisException as e:
+        if e.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
+            raise
+
+
 def read_log(spark: SparkSession, root: str) -> DataFrame:
-    spark.dataSource.register(MessageLog)
+    _register(spark)
     return spark.read.format(FORMAT).load(root)
 
 
@@ -183,7 +194,7 @@ def stream_log(
     spark: SparkSession, root: str, positions: str, start: str = "LATEST", rate: FeedRate = FeedRate(),
 ) -> DataFrame:
     """Messages as (shard, sequence, value); ``positions`` is a folder of the query's own."""
-    spark.dataSource.register(MessageLog)
+    _register(spark)
     return (spark.readStream.format(FORMAT).option("startingPosition", start).option("positions", positions)
             .option("limit", rate.messages_per_shard).load(root))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,13 +91,36 @@ def in_symbol_order(trades: DataFrame, *ties: str) -> DataFrame:
             .sortWithinPartitions(*order).drop("_turn"))
 
 
+def numbered(trades: DataFrame, *ties: str) -> DataFrame:
+    """``trades`` with ``sequence``: 1, 2, ... per symbol, in the order of time and then ``ties``.
+
+    Two levels of ranks: the layout cuts (symbol, time) into ranges, a range's places are its own
+    ranks, and the trades of a symbol in the ranges before it are counted. A busy symbol fills many
+    ranges, so no task holds it; only one row per range and symbol is ranked on its own. Trades
+    without a symbol are numbered among themselves, those without a time come first.
+    """
+    laid = settle(in_symbol_order(trades, *ties).withColumns(
+        {"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}), "ranges")
+    ranges = laid.groupBy("symbol", "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("symbol").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = settle(ranges.select("symbol", "_part", (F.coalesce(F.sum("_rows").over(before), F.lit(0))
+                                                      - F.col("_first") + 1).alias("_shift"), "_rows"), "starts")
+    # A range of a symbol has a bounded number of trades, so the join's groups are bounded too.
+    same = laid["symbol"].eqNullSafe(starts["symbol"]) & (laid["_part"] == starts["_part"])
+    return laid.join(starts, same).select(
+        *[laid[c] for c in trades.columns], (F.col("_place") + F.col("_shift")).alias("sequence"))
+
+
 def publish(trades: DataFrame, servers: str, topic: str, *ties: str) -> None:
     """Send keyed messages in symbol order; needs Spark's Kafka package on the cluster.
 
     The key sends a symbol's messages to one partition of the topic. They are
-    laid out in symbol order first, so those of one task arrive in order. A symbol
-    that fills several tasks is sent by them at the same time; only one task at a
-    time keeps the order then, which ``coalesce(1)`` on a small lot gives.
+    laid out in symbol order first, so those of one task arrive in order. A symbol that
+    fills several tasks is sent by them at the same time; each message therefore carries
+    its number in the symbol's order in the header ``sequence``, gapless from 1, by which
+    a reader restores the order.
     """
-    (keyed_messages(in_symbol_order(trades, *ties)).write.format("kafka")
-     .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+    messages = keyed_messages(numbered(trades, *ties), "sequence")
+    header = F.array(F.struct(F.lit("sequence").alias("key"), F.col("sequence").cast("string").cast("binary").alias("value")))
+    (messages.select("key", "value", header.alias("headers")).write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).option("topic", topic).option("includeHeaders", "true").save())
