@@ -25,10 +25,11 @@ def documents(spark):
 #: Texts that every operator must take: null, empty, white space, one word, no space, ties, repeats.
 TEXTS = [None, "", " \n\t ", "word", "x" * 5000, "Same text here, twice.", "Same text here, twice.",
          "Mail a.b@c.de or call +1 (555) 010-2030 now.\nMail a.b@c.de", "ß é 東京 \u2003 12.5.1.9 4111 1111 1111 1111",
-         "ab " * 3000, "ab " * 3000]
+         "ab " * 3000, "ab " * 3000, "A very long text of many words, and some more. " * 25_000]
 #: Columns that operators use names like; they must not meet.
-CLASHES = ["score", "k", "fp", "root", "start", "length", "bucket", "n", "a", "b", "label", "features",
-           "host", "path", "rule", "verdict", "key", "word", "row", "turn", "half", "kind", "size", "shard"]
+CLASHES = ["score", "k", "fp", "start", "length", "bucket", "n", "a", "b", "label", "features",
+           "host", "path", "rule", "verdict", "key", "word", "row", "turn", "half", "kind", "size", "shard", "k1", "k2",
+           "cls", "info", "held", "root", "term", "item", "rank", "vec", "block", "slice"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickguard.llm import decontam, lm, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter
+from tickguard.llm import decontam, jaccard, lexical, lm, negatives, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter
 from tickguard.llm.queries import word_bpe
 
 
@@ -29,6 +29,7 @@ OPERATORS = {
     "sharding": lambda d, labels, items: sharding.shard(d, 8),
     "decontam": lambda d, labels, items: decontam.find(d, items),
     "lm": lambda d, labels, items: lm.score(d),
+    "jaccard": lambda d, labels, items: jaccard.similar_groups(d),
 }
 
 
@@ -61,6 +62,27 @@ def test_defined_values_of_empty_texts(odd, labels, items):
     assert {r[0] for r in pii.find(odd).filter(empty).select(F.size("_spans")).collect()} == {0}
 
 
+def test_items_without_an_id_have_hits_but_no_name(spark, odd, items):
+    found = decontam.find(odd, items).filter("text = 'word'").select("_n_hit", "_items").distinct().collect()
+    assert [tuple(r) for r in found] == [(1, [])]
+
+
+def test_jaccard_groups_of_odd_rows(odd):
+    made = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.similar_groups(odd).collect()}
+    assert (made[0, 0], made[1, 0], made[2, 0], made[None, 0]) == (0, 1, 2, None)
+    assert (made[3, 1], made[5, 1], made[6, 1], made[9, 1], made[10, 1], made[None, 1]) == (3, 5, 5, 9, 9, None)
+    assert made[11, 10] == 11
+
+
+def test_lexical_search_over_odd_rows(odd, none, items):
+    made = lexical.rank(odd, items).collect()
+    assert {r.item_id for r in made} == {1, 4, None}
+    words = [(r.rank, r.doc_id) for r in made if r.item_id is None]
+    assert sorted(words) == [(1, 3), (2, 3), (3, 3)]                         # a row three times
+    assert {r.doc_id for r in made if r.item_id == 4} == {5, 6}
+    assert lexical.rank(none, items).count() == 0 == lexical.rank(odd, items.limit(0)).count()
+
+
 def test_urls(spark):
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(
         [None, "", "no scheme", "http://", "HTTP://A.B.NET", "x://u@WWW.Bad.org:80/p/?q", "y://bad.org/p"])],

@@ -35,7 +35,7 @@ def words_of(text: bytes) -> list[bytes]:
 class Automaton:
     """All runs of words of the items, with the windows that count and the items they belong to."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         self.ids: dict[bytes, int] = {}
         self.windows: dict[tuple[int, ...], set[str]] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -51,7 +51,9 @@ class Automaton:
             pairs.update(zip(words, words[1:], strict=False))
             size = min(window, len(words))
             for i in range(len(words) - size + 1):
-                self.windows.setdefault(tuple(words[i:i + size]), set()).add(item)
+                of = self.windows.setdefault(tuple(words[i:i + size]), set())
+                if item is not None:
+                    of.add(item)
         self.sizes = sorted({len(w) for w in self.windows})
         self.pairs = np.unique(np.array([a << 32 | b for a, b in pairs] or [-1], np.int64))
 
@@ -124,7 +126,7 @@ class Automaton:
                 for size in self.sizes:
                     if size > matched:
                         break
-                    if found := self.windows.get(tuple(stretch[i - a - size:i - a])):
+                    if (found := self.windows.get(tuple(stretch[i - a - size:i - a]))) is not None:
                         items |= found
                         runs.append((i - size, i))
         return _union(runs), items
@@ -179,7 +181,9 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     ``items`` has item_id and text. They are searched in blocks of a bounded
     number of words, one automaton each. Null and empty texts have no words,
     and items without words no windows. Repeated rows are searched one by one,
-    and repeated items count once for each id. Other columns pass through.
+    and repeated items count once for each id. An item without an id has hits like any
+    other, but no name in ``_items``. Very long texts are searched whole, one at a time in a
+    task. Other columns pass through.
     """
     spark = docs.sparkSession
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
@@ -188,7 +192,7 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     found = docs.withColumn("_found", F.lit(None).cast("array<" + FOUND + ">"))
     for k in range(blocks):
-        rows = items.filter(part == k).filter("item_id is not null and text is not null").collect()
+        rows = items.filter(part == k).filter("text is not null").collect()
         search = _search(spark, Automaton([(r.item_id, r.text.encode()) for r in rows], window))
         here = F.array(search("text"))
         found = found.withColumn("_found", F.concat(F.coalesce("_found", F.array().cast(

@@ -23,18 +23,18 @@ LAST = WIDTH * WIDTH
 
 
 def _below(cut: int) -> Column:
-    """Rows whose key (k1, k2) is below ``cut``, the pair as one 128-bit number."""
+    """Rows whose key (_k1, _k2) is below ``cut``, the pair as one 128-bit number."""
     k1, k2 = divmod(cut, WIDTH)
     if k1 >= WIDTH:
         return F.lit(True)
     k1, k2 = k1 - SIGN, k2 - SIGN
-    return (F.col("k1") < k1) | ((F.col("k1") == k1) & (F.col("k2") < k2))
+    return (F.col("_k1") < k1) | ((F.col("_k1") == k1) & (F.col("_k2") < k2))
 
 
 def splitters(keyed: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[int]:
     """The keys at which shards begin, found by counting bytes below probes.
 
-    ``keyed`` has k1, k2 and size. Every round is one aggregate of a fixed
+    ``keyed`` has _k1, _k2 and size. Every round is one aggregate of a fixed
     number of sums. A cut whose bracket holds no two different keys is as good
     as it gets.
     """
@@ -53,7 +53,7 @@ def splitters(keyed: DataFrame, shards: int, tolerance: float = TOLERANCE) -> li
             for probe in range(a + step, b, step):
                 asked[j, probe] = F.sum(F.when(_below(probe), F.col("size")).otherwise(0))
             inside = ~_below(a) & _below(b)
-            pair = F.struct("k1", "k2")
+            pair = F.struct("_k1", "_k2")
             asked[j, "least"] = F.min(F.when(inside, pair))
             asked[j, "most"] = F.max(F.when(inside, pair))
         found = dict(zip(asked, keyed.agg(*[c.alias(f"c{i}") for i, c in enumerate(asked.values())])
@@ -101,17 +101,17 @@ def shard(docs: DataFrame, shards: int, tolerance: float = TOLERANCE) -> DataFra
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     k1 = F.xxhash64(F.coalesce("text", F.lit("")))
     k2 = F.xxhash64("doc_id")
-    keyed = settle(docs.select(k1.alias("k1"), k2.alias("k2"), size.alias("size")), "keys")
+    keyed = settle(docs.select(k1.alias("_k1"), k2.alias("_k2"), size.alias("size")), "keys")
     cuts = splitters(keyed, shards, tolerance)
     buckets = max(1, -(-keyed.count() // (SLOT_ROWS * shards)))
     number = sum((F.when(_below(cut), 0).otherwise(1) for cut in cuts), F.lit(0)).cast("int")
-    bucket = F.pmod(F.xxhash64("k2", "k1"), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64("_k2", "_k1"), F.lit(buckets))
     counts = keyed.groupBy(number.alias("_shard"), bucket.alias("_bucket")).count()
     first = counts.select("_shard", "_bucket", (F.sum("count").over(
         Window.partitionBy("_shard").orderBy("_bucket")) - F.col("count")).alias("_first"))
-    placed = (docs.withColumns({"k1": k1, "k2": k2, "_size": size})
+    placed = (docs.withColumns({"_k1": k1, "_k2": k2, "_size": size})
               .withColumn("_shard", number).withColumn("_bucket", bucket))
-    order = Window.partitionBy("_shard", "_bucket").orderBy("k2", "k1")
+    order = Window.partitionBy("_shard", "_bucket").orderBy("_k2", "_k1")
     return (placed.withColumn("_turn", F.row_number().over(order))
             .join(first, ["_shard", "_bucket"])
             .withColumn("_slot", F.col("_first") + F.col("_turn") - 1)
