@@ -11,6 +11,7 @@ from tickguard.operators import dedup
 from tickguard.operators import zscore as Z
 from tickguard.operators.attach import attach
 from tickguard.operators.quantiles import exact_quantiles
+from tickguard.operators.trailing import between_totals
 from tickguard.plans import reports
 from tickguard.sources.trades import watched
 from tickguard.streaming.sinks import in_symbol_order
@@ -123,3 +124,29 @@ def test_keep_first_combines_before_the_shuffle(hot):
     assert kept.count() == hot.select("symbol", "price").distinct().count()
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_min_by") >= 1
+
+
+@pytest.mark.parametrize("blocks", [2, 3, 6, 7, 60, 1200])
+def test_block_totals_of_sparse_symbols_grow_with_a_logarithm(spark, blocks):
+    """One busy symbol has trades in every block, thirty others in few, also before 1970."""
+    rnd = random.Random(blocks)
+    prices = {("BUSY", b): 1.0 + b % 7 for b in range(-500, 2000)}
+    prices |= {(f"S{k}", rnd.randrange(-500, 2000)): float(k) for k in range(30) for _ in range(4)}
+    totals = spark.createDataFrame(
+        [(s, b, 1, p, 0.0, p, p) for (s, b), p in prices.items()],
+        "symbol string, block long, n long, mean double, m2 double, low double, high double")
+    made = between_totals(totals, blocks).collect()
+    parts = {}
+    for r in made:
+        parts.setdefault((r.symbol, r.block), []).append(r)
+    assert max(map(len, parts.values())) <= 2 * blocks.bit_length()
+    for symbol, block in prices:
+        inside = [p for b in range(block - blocks + 1, block) if (p := prices.get((symbol, b))) is not None]
+        got = parts.get((symbol, block), [])
+        assert sum(r.n for r in got) == len(inside)
+        if inside:
+            assert (min(r.low for r in got), max(r.high for r in got)) == (min(inside), max(inside))
+            assert sum(r.n * r.mean for r in got) == pytest.approx(sum(inside))
+            middle = sum(inside) / len(inside)
+            spread = sum(r.m2 + r.n * (r.mean - middle) ** 2 for r in got)
+            assert spread == pytest.approx(sum((p - middle) ** 2 for p in inside), abs=1e-6)

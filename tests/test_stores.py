@@ -4,12 +4,14 @@ import os
 import random
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from support import START, at, rows_of
-from tickguard.operators import latest, sketches
+from tickguard.operators import alert_store, latest, sketches
 from tickguard.operators.dedup import latest_revision
-from tickguard.streaming import sinks
+from tickguard.streaming import compaction, sinks
 
 LAYOUT = ("window_start timestamp, window_end timestamp, symbol string, count_trades long, mean_price double, "
           "batch_id long")
@@ -90,3 +92,86 @@ def test_numbers_are_gapless_and_in_order_with_a_busy_symbol(spark, trades):
         assert [n for n, _ in numbered] == list(range(1, len(numbered) + 1))
         assert [o for _, o in numbered] == sorted(o for _, o in numbered)
     assert sinks.numbered(trades([])).count() == 0
+
+
+def test_range_of_the_alert_store_reads_part_of_it(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")        # whole lists of filters in the plan's text
+    rng, root = random.Random(2), str(tmp_path / "store")
+    day = [START.replace(tzinfo=None) + timedelta(days=d) for d in range(3)]
+    rows = [(rng.choice(day) + timedelta(seconds=rng.randrange(86400)), "BUSY" if k % 3 == 0 else f"S{rng.randrange(50):02}",
+             rng.lognormvariate(2, 1) * rng.choice((-1, 1))) for k in range(60_000)]
+    rows += [(None, "S01", 9.0), (day[0], None, 9.0), (day[0], "S01", None), (day[0], "S01", 0.0),
+             (day[0], "S01", float("nan"))]
+    layout = T.StructType([T.StructField("event_time", T.TimestampType()), T.StructField("symbol", T.StringType()),
+                           T.StructField("z_score", T.DoubleType())])
+    for batch in (0, 1, 0):                                             # a batch that comes again replaces itself
+        part = spark.createDataFrame(rows[batch::2], layout)
+        alert_store.write_batch(part, root, batch, "event_time", "abs(z_score)", row_group_bytes=1 << 13)
+    whole = alert_store.read_store(spark, root, layout)
+    assert repr(rows_of(whole, "event_time", "symbol", "z_score")) == repr(sorted(rows, key=repr))
+    since, until = day[1] + timedelta(hours=3), day[2] + timedelta(hours=1)
+    for chosen, low, high in ((["S07"], 30.0, None), (["BUSY", "S11"], 2.0, 2.5), (None, 60.0, 90.0), (["S07"], None, None)):
+        got = alert_store.read_range(spark, root, layout, "event_time", chosen, low, high,
+                                     since.strftime("%F %T"), until.strftime("%F %T"))
+        want = [r for r in rows if r[0] is not None and since <= r[0] <= until
+                and (chosen is None or r[1] in chosen)
+                and (low is None or abs(r[2]) >= low) and (high is None or abs(r[2]) <= high)]
+        assert rows_of(got.drop("batch_id")) == sorted(want, key=repr)
+        plan = got._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+        assert "PartitionFilters: [isnotnull(alert_day" in text
+        assert ("GreaterThanOrEqual(alert_size" in text) == (low is not None)
+        got._jdf.queryExecution().toRdd().count()
+        read = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+        assert len(want) <= read < 2 / 3 * len(rows) / 2                # of two days, less than half
+    assert alert_store.read_range(spark, str(tmp_path / "none"), layout, "event_time", ["A"], 1).count() == 0
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_compaction_keeps_the_rows_also_when_a_round_dies(spark, trades, tmp_path, monkeypatch):
+    root, store = str(tmp_path / "lots"), str(tmp_path / "store")
+    count, target = 0, 60_000
+
+    def lot(n):
+        nonlocal count
+        sinks.write_lines(trades([("A", count + k, k) for k in range(n)]).repartition(6), root)
+        count += n
+
+    def same():
+        assert sorted(r.p for r in compaction.read_lots(spark, root, store).collect()) == list(map(float, range(count)))
+
+    assert compaction.read_lots(spark, root, store).count() == 0 and compaction.compact(spark, root, store) == 0
+    lot(3000)
+    same()
+    (tmp_path / "lots" / "part-odd.json").write_text('{"broken\n\n{"s":"Z"}\n')
+    odd = compaction.read_lots(spark, root, store).filter("p is null").count()
+    (tmp_path / "lots" / "part-empty.json").write_text("")
+    files = compaction.live_files(spark, root, store).count()
+    assert compaction.compact(spark, root, store, target) == files >= 7
+    assert compaction.read_lots(spark, root, store).filter("p is null").count() == odd == 2
+    live = compaction.live_files(spark, root, store).collect()
+    assert len(live) < files and all(r.merged and r.bytes <= target for r in live)
+    (tmp_path / "lots" / "part-odd.json").unlink()
+    lot(2000)
+
+    def numbers():
+        return sorted(r.p for r in compaction.read_lots(spark, root, store).filter("p is not null").collect())
+
+    assert numbers() == list(map(float, range(count)))
+    for step in ("commit", "write_merged"):                             # dies after, and before, the merged files
+        with monkeypatch.context() as m:
+            m.setattr(compaction, step, lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                compaction.compact(spark, root, store, target)
+        assert numbers() == list(map(float, range(count)))
+    half = tmp_path / "store" / "manifest" / "0000000001"               # a manifest without its end mark
+    half.mkdir()
+    (half / "part-0.parquet").write_bytes(b"PAR1")
+    assert numbers() == list(map(float, range(count)))
+    assert compaction.compact(spark, root, store, target) > 0
+    assert numbers() == list(map(float, range(count)))
+    sizes = sorted(r.bytes for r in compaction.live_files(spark, root, store).collect())
+    assert sum(s < target // 2 for s in sizes) <= 1
+    while compaction.compact(spark, root, store, target):
+        assert numbers() == list(map(float, range(count)))
+    assert compaction.retired_files(spark, store).filter("file like '%lots%'").count() >= 13

@@ -24,8 +24,8 @@ def summarize(value: Column) -> list[Column]:
     ]
 
 
-def merged_stats(parts: Column) -> Column:
-    """Mean, sample stddev and count of an array of summaries, merged in one pass in array order."""
+def merged(parts: Column, finish=None) -> Column:
+    """The summary of an array of summaries, merged in one pass in array order."""
     zero = F.struct(
         F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"),
         F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
@@ -41,13 +41,18 @@ def merged_stats(parts: Column) -> Column:
             F.greatest(acc["high"], x["high"]).alias("high"))
         return F.when(x["n"] > 0, both).otherwise(acc)
 
+    return F.aggregate(parts, zero, merge, finish)
+
+
+def merged_stats(parts: Column) -> Column:
+    """Mean, sample stddev and count of an array of summaries."""
     def finish(acc):
         return F.struct(
             F.when(acc["n"] > 0, acc["mean"]).alias("mean_price"),
             sample_stddev(acc["n"], acc["m2"], acc["low"], acc["high"]).alias("stddev_price"),
             acc["n"].alias("count_trades"))
 
-    return F.aggregate(parts, zero, merge, finish)
+    return merged(parts, finish)
 
 
 def sample_stddev(n: Column, m2: Column, low: Column, high: Column) -> Column:

@@ -4,9 +4,10 @@ The trailing range of a trade at time t is [t - span, t]. Time is cut into
 blocks, ``blocks`` to a span, so the range is made of three parts: the end of
 the block holding t - span, the whole blocks between, and the start of the block
 holding t. The first and last parts are running summaries inside one block, in
-opposite directions; the middle part is made of block totals. So no frame is
-ever re-read row by row, and no task needs more of a symbol than one block of
-distinct instants. ``fitting_blocks`` makes the blocks short enough for the
+opposite directions; the middle part is made of totals of dyadic stretches, a
+logarithm of ``blocks`` for each block that has trades. So no frame is
+ever re-read row by row, no sparse symbol pays for the short blocks of a busy one,
+and no task needs more of a symbol than one block of distinct instants. ``fitting_blocks`` makes the blocks short enough for the
 busiest one.
 """
 
@@ -57,6 +58,37 @@ def fitting_blocks(trades: DataFrame, span_s: int, rows_per_block: int = ROWS_PE
     return next(b for b in range(max(MIN_BLOCKS, wanted), span_us + 1) if span_us % b == 0)
 
 
+def stretches(lo: Column, hi: Column, blocks: int) -> Column:
+    """The dyadic stretches that make up blocks ``lo`` to ``hi - 1``, fewer than ``blocks`` of them.
+
+    Stretch ``i`` of level k holds blocks i * 2^k to (i + 1) * 2^k - 1. A level gives at most one
+    stretch at each end: where its first whole stretch is odd, or its last one is even.
+    """
+    ends = []
+    for k in range((blocks - 1).bit_length()):
+        first, behind = F.shiftright(lo + ((1 << k) - 1), k), F.shiftright(hi, k)
+        for odd, place in ((first, first), (behind, behind - 1)):
+            ends.append(F.when((first < behind) & (F.pmod(odd, F.lit(2)) == 1), F.struct(
+                F.lit(k).alias("level"), place.alias("stretch"))))
+    return F.filter(F.array(*ends), lambda x: x.isNotNull())
+
+
+def between_totals(totals: DataFrame, blocks: int) -> DataFrame:
+    """Summaries that make up the ``blocks - 1`` blocks before each block of ``totals``.
+
+    ``totals`` has one row per symbol and block with trades. Each is in one stretch a level,
+    and each asks for two stretches a level at most, whatever the number of blocks.
+    """
+    levels = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("block", k).alias("stretch"))
+                       for k in range((blocks - 1).bit_length())])
+    held = totals.select("symbol", F.struct(*M.FIELDS).alias("part"), F.inline(levels))
+    # A list has at most as many parts as its stretch has blocks, fewer than ``blocks``.
+    sums = (held.groupBy("symbol", "level", "stretch").agg(M.merged(F.collect_list("part")).alias("sum"))
+            .select("symbol", "level", "stretch", "sum.*"))
+    asked = totals.select("symbol", "block", F.inline(stretches(F.col("block") - (blocks - 1), F.col("block"), blocks)))
+    return asked.join(sums, ["symbol", "level", "stretch"]).select("symbol", "block", *M.FIELDS)
+
+
 def trailing_stats(trades: DataFrame, span_s: int, blocks: int | None = None) -> DataFrame:
     """Statistics of the trailing range at every (symbol, instant).
 
@@ -82,12 +114,9 @@ def trailing_stats(trades: DataFrame, span_s: int, blocks: int | None = None) ->
         totals = (
             priced(trades).groupBy("symbol", block_of(F.unix_micros("event_time"), block_us))
             .agg(*M.summarize(F.col("price"))))
-        between = totals.select(
-            "symbol", *M.FIELDS, "block",
-            F.explode(F.sequence(F.lit(1), F.lit(blocks - 1))).alias("ahead"),
-        ).select("symbol", *M.FIELDS, F.lit(TOTAL).alias("role"),
-                 (F.col("block") + F.col("ahead")).alias("block"))
-        rows = rows.unionByName(between.withColumn("at", F.col("block") * block_us - 1))
+        between = between_totals(totals, blocks).withColumns(
+            {"role": F.lit(TOTAL), "at": F.col("block") * block_us - 1})
+        rows = rows.unionByName(between)
 
     group = Window.partitionBy("symbol", "block")
     forward = group.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)

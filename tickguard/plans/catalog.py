@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickguard.functions.scalars import second_stamp
-from tickguard.operators import dedup, latest, quotes, sketches, volatility, zscore
+from tickguard.operators import alert_store, dedup, latest, quotes, sketches, volatility, zscore
 from tickguard.operators.trailing import trailing_zscores
 from tickguard.operators.windows import sliding_stats
 from tickguard.params import FeedRate, VolatilityRule, WindowSpec, ZScoreRule
@@ -23,7 +23,7 @@ from tickguard.sources import alerts as alert_files
 from tickguard.sources import message_log
 from tickguard.sources import trades as feed
 from tickguard.sources.tables import EVENTS, events_as_trades, stream_events_as_trades
-from tickguard.streaming import jobs, late, sinks
+from tickguard.streaming import compaction, jobs, late, sinks
 from tickguard.streaming.trailing import trailing_zscore_stream
 
 SPEC = WindowSpec(length_s=6 * 3600, slide_s=3600, lateness_s=3600)
@@ -468,6 +468,19 @@ def alert_latest_maintained(spark, sf):
     return latest.read_latest(spark, root, layout).drop("day")
 
 
+@query
+def alert_store_range(spark, sf):
+    """Two batches into the clustered store, one of them twice; a range of size, symbols and days back."""
+    (store,) = scratch(spark, "store")
+    alerts = settle(_z(spark, sf, batch="day"))
+    early = F.col("event_time") < F.lit(SPLIT).cast("timestamp")
+    for batch, part in ((0, early), (1, ~early), (0, early)):
+        alert_store.write_batch(alerts.filter(part), store, batch, "event_time", reports.Z_SIZE)
+    kept = alert_store.read_range(spark, store, ZSCORE_ALERT, "event_time", CHOSEN, 3.2, 4.5,
+                                  since="2024-01-05 06:00:00", until="2024-01-25 18:00:00")
+    return kept.select("batch_id", *zscore.COLUMNS)
+
+
 @query
 def alert_histogram(spark, sf):
     return reports.histogram(settle(_z(spark, sf, batch="day")))
@@ -640,6 +653,17 @@ def stream_json_lots(spark, sf):
     return feed.to_transactions(feed.readable(feed.read_lines(spark, raw)))
 
 
+@query
+def lots_compacted(spark, sf):
+    """The relay's lots, compacted after each half of the trades; the second time with the merged files of the first."""
+    raw, store = scratch(spark, "raw", "store")
+    trades = events_as_trades(spark, sf)
+    for half in range(2):
+        sinks.write_lines(trades.filter(F.col("event_id") % 2 == half).repartition(12), raw)
+        compaction.compact(spark, raw, store)
+    return feed.to_transactions(feed.readable(compaction.read_lots(spark, raw, store)))
+
+
 @query
 def stream_dedup_zscore(spark, sf):
     """Alerts of several windows, streamed, keep one row per trade."""

@@ -235,6 +235,10 @@ SELECT {V_COLUMNS} FROM rated
 WHERE volatility_ratio > 1.0 AND symbol IN {CHOSEN}
   AND volatility_ratio BETWEEN 1.05 AND 1.4
 ORDER BY window_start DESC""",
+    "alert_store_range": f"""WITH {Z_ALERTS}
+SELECT CASE WHEN event_time < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END::BIGINT AS batch_id, {Z_COLUMNS}
+FROM alerts WHERE symbol IN {CHOSEN} AND abs(z_score) BETWEEN 3.2 AND 4.5
+  AND event_time BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-25 18:00:00'""",
     "alert_shown_of_total": f"""WITH {Z_ALERTS}
 SELECT count(*) FILTER (WHERE symbol IN {CHOSEN} AND abs(z_score) BETWEEN 3.2 AND 4.5) AS shown,
        count(*) AS total FROM alerts""",
@@ -322,6 +326,7 @@ UNION ALL
 SELECT 'LATEST', event_time, symbol, price, volume FROM trades WHERE event_id IN (
   SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-16')""",
     "stream_json_lots": f"WITH {MILLIS} SELECT event_time, symbol, price, volume FROM trades",
+    "lots_compacted": f"WITH {MILLIS} SELECT event_time, symbol, price, volume FROM trades",
     "stream_dedup_zscore": f"""WITH {SLIDING}
 SELECT DISTINCT event_time, symbol, price, volume FROM sliding""",
 }

@@ -117,6 +117,12 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly below ``path`` whose writer has finished, by name."""
+    files, where = _located(spark, f"{path}/*/_SUCCESS")
+    return sorted(found.getPath().getParent().toString() for found in files.globStatus(where) or [])
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library wrote."""
     files, where = _located(spark, path)
