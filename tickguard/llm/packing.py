@@ -30,16 +30,17 @@ RANK_ROWS = 10_000        # pieces of one length that one task numbers
 PIECE = "struct<start:bigint,length:bigint,ids_crc32:bigint,ids:binary>"
 
 
-def tokenized(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False,
+              cached: int = CHUNK_CACHE) -> DataFrame:
     """``docs`` with ``_doc_tokens`` and ``_pieces``: the ids and an end mark, cut into full windows.
 
     Only the last piece is shorter than ``size``. A text is cut at ASCII white
     space, which is never part of a token here, and the ids of the stretches are
-    kept in a bounded cache. Null is an empty text: one piece, the end mark.
+    kept in a cache of ``cached`` entries; fewer only cost time. Null is an empty text: one piece, the end mark.
     """
     @F.arrow_udf(f"struct<doc_tokens:bigint,pieces:array<{PIECE}>>")
     def cut(texts: pa.Array) -> pa.Array:
-        encode = Encoder.of(path)
+        encode = Encoder.of(path, cached)
         counts, pieces = [], []
         for group in _groups(texts.to_pylist()):
             for ids in map(memoryview, encode(group)):
@@ -71,21 +72,21 @@ def _groups(texts: list[str | None]) -> Iterator[list[str]]:
         yield held
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
     """texts -> their ids and the end mark, little-endian 32 bits each.
 
     ASCII white space is never part of a token, so texts are cut there and the
-    ids of the stretches are kept, up to ``CHUNK_CACHE`` of them. New stretches that
+    ids of the stretches are kept, up to ``cached`` of them. New stretches that
     are letters and then punctuation are words to the tokenizer; their letters are
     encoded many at once, and the ids are told apart by the word ends among them.
     The tokenizer encodes all other stretches one by one, and texts that may hold
     its special tokens as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CHUNK_CACHE):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -95,20 +96,21 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.cached = cached
         self.known: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+    def of(cls, path: str, cached: int = CHUNK_CACHE) -> Encoder:
+        if (path, cached) not in _ENCODERS:
+            _ENCODERS[path, cached] = cls(path, cached)
+        return _ENCODERS[path, cached]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         end = END.to_bytes(4, "little")
         cut = [[] if "<|" in t else t.encode().lower().split() for t in texts]
         new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > CHUNK_CACHE:
+        if len(self.known) + len(new) > self.cached:
             self.known.clear()
             self.words.clear()
             new = set().union(*cut)
@@ -227,7 +229,8 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int,
     return runs
 
 
-def pack(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False,
+         cached: int = CHUNK_CACHE) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, ids, doc_tokens, sequence_id, offset.
 
     Every id of every document lies in one piece; a sequence holds at most
@@ -237,7 +240,7 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -
     """
     spark = docs.sparkSession
     pieces = settle(
-        tokenized(docs.select("doc_id", "text"), path, size, with_ids)
+        tokenized(docs.select("doc_id", "text"), path, size, with_ids, cached)
         .select("doc_id", F.col("_doc_tokens").alias("doc_tokens"), F.inline("_pieces"))
         .withColumn("deal", F.xxhash64("doc_id", "start", "ids_crc32")), "pieces")
     counts = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
