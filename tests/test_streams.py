@@ -233,6 +233,33 @@ def test_message_log_polls_within_its_limit_and_goes_on_after_a_restart(spark, t
         (f"{'A' if i % 3 or i >= 300 else 'B'}{i}",) for i in range(330))
 
 
+def test_message_log_catches_up_a_backlog_in_few_batches(spark, tmp_path):
+    root, out, state, kept = (str(tmp_path / n) for n in ("log", "out", "state", "kept"))
+    session = stream_session(spark, 2)
+    log_of(spark, [(i, "A") for i in range(310)], root, per_segment=70)
+    rate = FeedRate(messages_per_shard=10, polls_per_trigger=8)
+    for more in ([], range(310, 325)):
+        if more:
+            log_of(spark, [(i, "A") for i in more], root)
+        read = message_log.stream_log(session, root, kept, "TRIM_HORIZON", rate)
+        run = jobs.catch_up(read.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
+        sizes = [p["numInputRows"] for p in run.recentProgress if p["numInputRows"]]
+        assert sizes == ([10, 5] if more else [10, 20, 40, 80, 80, 80])
+    back = spark.read.schema(message_log.MESSAGE).parquet(out)
+    assert sorted(map(tuple, back.select("sequence", "value").collect())) == [(i, f"A{i}") for i in range(325)]
+
+
+def test_message_log_reads_any_range_of_a_long_segment(tmp_path):
+    lines = [f"{i}-{'ü' * (i % 90)}" for i in range(30_000)]
+    path = tmp_path / "shard=1" / f"{5:020d}-{30_005:020d}.jsonl"
+    path.parent.mkdir()
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    for first, after in ((5, 30_005), (5, 6), (12_000, 12_500), (29_999, 30_005)):
+        part = message_log.Range(1, str(path), 5, first, after)
+        got = [r for b in message_log._messages(str(tmp_path), part) for r in b.to_pylist()]
+        assert got == [{"shard": 1, "sequence": i, "value": lines[i - 5]} for i in range(first, after)]
+
+
 def test_message_log_from_its_end_and_unknown_positions(spark, tmp_path):
     root, out, state, kept = (str(tmp_path / n) for n in ("log", "out", "state", "kept"))
     session = stream_session(spark, 2)

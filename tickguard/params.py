@@ -61,6 +61,7 @@ class FeedRate:
     files_per_trigger: int = 10
     messages_per_trigger: int = 1000
     messages_per_shard: int = 100
+    polls_per_trigger: int = 1         # at most, of a log that is behind
     trigger_s: int = 10
 
     @property

@@ -623,13 +623,14 @@ def message_log_replay(spark, sf):
     """A keyed log read from both start positions, in polls, with a restart in the middle.
 
     The first half is logged, then both streams begin; the second half is logged
-    between their first run and their second one on the same checkpoints.
+    between their first run and their second one on the same checkpoints. The
+    backlog is read in batches of one poll, then two, four and so on.
     """
     (log,) = scratch(spark, "log")
     trades = events_as_trades(spark, sf)
     stream = stream_session(spark)
     cut = F.lit(SPLIT).cast("timestamp")
-    rate = FeedRate(messages_per_shard=2500)
+    rate = FeedRate(messages_per_shard=2500, polls_per_trigger=64)
     places = {start: scratch(spark, "out", "state", "positions") for start in feed.START_POSITIONS}
     for lot in (F.col("event_time") < cut, F.col("event_time") >= cut):
         messages = sinks.keyed_messages(trades.filter(lot), "event_time", "event_id")

@@ -7,10 +7,12 @@ the driver, and executors open only the segments of their own ranges.
 
 ``LATEST`` starts behind the last message that is there when the query starts first,
 ``TRIM_HORIZON`` at the oldest one kept. A poll takes at most ``limit`` messages of each
-shard. Spark logs the ranges, so a restarted query goes on where it stopped; the end of
-the last poll is also kept in the folder ``positions``, since Spark does not tell a Python
-source where the last run ended. After a crash between the two, the next poll takes up to
-twice the limit, and no message is lost or doubled.
+shard. A batch is one poll; while messages are left behind, each batch takes twice the polls
+of the one before, ``polls`` at most, so that a long backlog is not a batch a poll.
+Spark logs the ranges, so a restarted query goes on where it stopped; the end of
+the last batch is also kept in the folder ``positions``, since Spark does not tell a Python
+source where the last run ended. After a crash between the two, the next batch also takes
+the range of the lost one, and no message is lost or doubled.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import re
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,7 @@ from tickguard.session import fresh_dir, remove_folder, settle
 
 FORMAT = "message_log"
 MESSAGE = "shard int, sequence long, value string"
+_ARROW = pa.schema([("shard", pa.int32()), ("sequence", pa.int64()), ("value", pa.string())])
 SEGMENT = re.compile(r"shard=(\d+)/(\d{20})-(\d{20})\.jsonl$")
 
 
@@ -72,16 +76,23 @@ def _ranges(root: str, start: dict[str, int], end: dict[str, int]) -> list[Range
     return made
 
 
-def _messages(root: str, part: Range) -> Iterator[tuple[int, int, str]]:
+def _messages(root: str, part: Range) -> Iterator[pa.RecordBatch]:
     system, _ = _files(root)
     with system.open_input_stream(part.path) as raw:
         rest, at = b"", part.base
         while at < part.after and (block := raw.read(1 << 20)):
+            if at + (ends := block.count(b"\n")) <= part.first:     # all before the range
+                rest, at = block[block.rfind(b"\n") + 1:] if ends else rest + block, at + ends
+                continue
             *lines, rest = (rest + block).split(b"\n")
-            for line in lines:
-                if part.first <= at < part.after:
-                    yield part.shard, at, line.decode("utf-8", "replace")
-                at += 1
+            low, high = max(part.first - at, 0), min(part.after - at, len(lines))
+            if low < high:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.shard] * (high - low), pa.int32()),
+                     pa.array(range(at + low, at + high), pa.int64()),
+                     pa.array([line.decode("utf-8", "replace") for line in lines[low:high]], pa.string())],
+                    schema=_ARROW)
+            at += len(lines)
 
 
 class LogTable(DataSourceReader):
@@ -94,7 +105,7 @@ class LogTable(DataSourceReader):
         ends = {str(shard): parts[-1][1] for shard, parts in _segments(self.root).items()}
         return _ranges(self.root, {}, ends) or [Range(0, "", 0, 0, 0)]
 
-    def read(self, part: Range) -> Iterator[tuple[int, int, str]]:
+    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         return _messages(self.root, part) if part.path else iter(())
 
 
@@ -104,6 +115,7 @@ class LogStream(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.root, self.start = options["path"], options.get("startingposition", "LATEST")
         self.limit = int(options.get("limit", 100))
+        self.polls, self.most_polls = 1, int(options.get("polls", 1))
         self.kept = f"{options['positions'].rstrip('/')}/position.json" if "positions" in options else None
         if self.start not in ("LATEST", "TRIM_HORIZON"):
             raise ValueError(f"startingPosition is LATEST or TRIM_HORIZON, not {self.start}")
@@ -138,13 +150,15 @@ class LogStream(DataSourceStreamReader):
         return self.first
 
     def latestOffset(self) -> dict[str, int]:
-        """The end of the next poll. Spark asks for it before it asks where to begin."""
+        """The end of the next batch. Spark asks for it before it asks where to begin."""
         self.initialOffset()
         before = self.position
-        after = {}
+        after, behind = {}, False
         for shard, parts in _segments(self.root).items():
             at = max(before.get(str(shard), 0), parts[0][0])
-            after[str(shard)] = max(at, min(at + self.limit, parts[-1][1]))
+            after[str(shard)] = max(at, min(at + self.polls * self.limit, parts[-1][1]))
+            behind = behind or after[str(shard)] < parts[-1][1]
+        self.polls = min(2 * self.polls, self.most_polls) if behind else 1
         self.position = {**before, **after}
         if self.position != before:
             self._keep()
@@ -153,7 +167,7 @@ class LogStream(DataSourceStreamReader):
     def partitions(self, start: dict[str, int], end: dict[str, int]) -> list[Range]:
         return _ranges(self.root, start, end)
 
-    def read(self, part: Range) -> Iterator[tuple[int, int, str]]:
+    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         return _messages(self.root, part)
 
     def commit(self, end: dict[str, int]) -> None:
@@ -196,7 +210,7 @@ def stream_log(
     """Messages as (shard, sequence, value); ``positions`` is a folder of the query's own."""
     _register(spark)
     return (spark.readStream.format(FORMAT).option("startingPosition", start).option("positions", positions)
-            .option("limit", rate.messages_per_shard).load(root))
+            .option("limit", rate.messages_per_shard).option("polls", rate.polls_per_trigger).load(root))
 
 
 def append_messages(messages: DataFrame, root: str, shards: int, *order: str, per_segment: int = 1_000_000) -> None:
