@@ -63,6 +63,25 @@ def test_pii_base_on_hard_strings(spark):
         assert got[i] == base(text), text[:80]
 
 
+def test_pii_trees_and_thresholds_come_from_all_candidates(spark):
+    # The first 30,000 candidates by turn are all wrong; of the others, the odd ones are right.
+    wrong = "id < 30000 or id % 2 = 0"
+    rows = spark.range(60_000).selectExpr(
+        "cast(id % 4 as int) AS kind", "cast(0 as int) AS a", "cast(9 as int) AS b", "id AS turn",
+        f"array(0D, if({wrong}, 1D, 2D), {', '.join(['0D'] * 14)}) AS f", f"cast(if({wrong}, 0, 1) as int) AS label")
+    made = pii.Selector(rows)
+    scores = rows.select("kind", "label", "turn", made.score(pii.F.col("f")).alias("score")).collect()
+    held = [r for r in scores if r.turn % 3 == 0]
+    want = {}
+    for kind in range(4):
+        for cut in sorted({r.score for r in held if r.kind == kind}):
+            passed = [r.label for r in held if r.kind == kind and r.score >= cut]
+            if sum(passed) >= pii.PRECISION * len(passed):
+                want.setdefault(kind, cut)
+    assert set(want) == {1, 3} and made.cuts == want
+    assert {r.label for r in scores if r.score >= made.cuts.get(r.kind, 2)} == {1}
+
+
 def test_pii_query(spark, sf, texts):
     for r in QUERIES["op1_pii"](spark, sf).collect():
         want = base(texts[r.doc_id])

@@ -88,7 +88,9 @@ def fit(rows: DataFrame, size: int, trees: int = TREES, depth: int = DEPTH) -> B
             .select(boosted.raw([F.col("features")[i] for i in range(size)]).alias("raw"),
                     F.col("label").cast("double").alias("label")))
     if {label for label, calibrate in seen if calibrate} == labels:
-        isotonic = IsotonicRegression(featuresCol="raw", labelCol="label").fit(held)
+        # Rows of one score count as one with their weight: few distinct scores, however many rows.
+        scores = held.groupBy("raw").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+        isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(scores)
         boosted.knots = list(zip(isotonic.boundaries.toArray().tolist(),
                                  isotonic.predictions.toArray().tolist(), strict=True))
     return boosted

@@ -20,9 +20,9 @@ from tickguard.llm import boosting
 from tickguard.session import settle
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE = 20_000           # candidates that the trees learn from at most
 PRECISION = 0.95          # of what a threshold lets through, on the calibration part
 BEFORE, AFTER = 24, 8     # characters of context
+STEPS = 1 << 10           # ranges of scores whose counts are summed on their own
 
 _LOCAL = "A-Za-z0-9._%+-"
 #: The base patterns. ``\G`` and the look-behind only start where the leftmost match
@@ -145,17 +145,24 @@ def _meets(x: Column, y: Column) -> Column:
 class Selector:
     """The fitted trees and a threshold for each kind."""
 
-    def __init__(self, candidates: DataFrame, sample: int = SAMPLE):
-        """``candidates`` has kind, a, b, f, label and turn; at most ``sample`` are learned from."""
-        rows = settle(candidates.orderBy("turn", "kind", "a").limit(sample), "candidates")
-        rows = rows.withColumn("calibrate", F.pmod(F.col("turn"), F.lit(3)) == 0)
-        self.model = boosting.fit(
-            rows.select(F.col("f").alias("features"), "label", "calibrate"), N_FEATURES, trees=15)
-        held = rows.filter("calibrate").select("kind", "label", self.score(F.col("f")).alias("score"))
+    def __init__(self, candidates: DataFrame):
+        """``candidates`` has kind, f, label and turn; two thirds of them are learned from, by turn, the rest calibrates."""
+        rows = settle(candidates.select("kind", F.col("f").alias("features"), "label",
+                                        (F.pmod(F.col("turn"), F.lit(3)) == 0).alias("calibrate")), "candidates")
+        self.model = boosting.fit(rows.select("features", "label", "calibrate"), N_FEATURES, trees=15)
+        held = (rows.filter("calibrate").select("kind", "label", self.score(F.col("features")).alias("score"))
+                .groupBy("kind", "score").agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("all"))
+                .withColumn("step", F.floor(F.col("score") * STEPS)))
+        held = settle(held, "scores")
         # Cumulated from the top: the lowest score at which enough of what passes is right.
-        # The sample is bounded, so a window over a kind is.
-        top = Window.partitionBy("kind").orderBy(F.desc("score"))
-        passed = held.withColumns({"right": F.sum("label").over(top), "all": F.count(F.lit(1)).over(top)})
+        # Whole steps are summed first, then the scores inside each.
+        above = Window.partitionBy("kind").orderBy(F.desc("step"))
+        sums = held.groupBy("kind", "step").agg(F.sum("right").alias("right"), F.sum("all").alias("all"))
+        before = sums.select("kind", "step", *[(F.sum(c).over(above) - F.col(c)).alias(f"{c}_above")
+                                               for c in ("right", "all")])
+        top = Window.partitionBy("kind", "step").orderBy(F.desc("score"))
+        passed = held.join(before, ["kind", "step"]).select(
+            "kind", "score", *[(F.sum(c).over(top) + F.col(f"{c}_above")).alias(c) for c in ("right", "all")])
         cut = passed.filter(F.col("right") >= PRECISION * F.col("all")).groupBy("kind").agg(F.min("score").alias("at"))
         self.cuts = {r.kind: r.at for r in cut.collect()}
 
@@ -167,7 +174,7 @@ class Selector:
         return self.score(c["f"]) >= cuts[c["kind"]]
 
 
-def find(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def find(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_base`` and ``_spans``, both array<struct<kind, a, b>> in code points.
 
     Kinds count from 0 as in ``KINDS``; spans are by kind, then start. ``_spans``
@@ -183,7 +190,7 @@ def find(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     rows = (seen.filter(F.size("_cands") > 0)
             .select("_base", F.xxhash64("text").alias("turn"), F.explode("_cands").alias("c"))
             .select("c.*", known.cast("int").alias("label"), "turn"))
-    selector = Selector(rows, sample)
+    selector = Selector(rows)
     chosen = F.filter("_cands", lambda c: selector.passes(c)
                       & ~F.exists("_base", lambda b: _meets(b, c)))
     # Of chosen spans that meet, the first kind's, then the leftmost stays.
