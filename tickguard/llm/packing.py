@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import compress, pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -123,35 +125,33 @@ class Encoder:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in made]
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        split: list[tuple[bytes, str, str]] = []
-        whole: list[bytes] = []
-        for c in chunks:
-            text = c.decode()
-            word = text.rstrip(MARKS)
-            if word.isalpha() or not word:
-                split.append((c, word, text[len(word):]))
-            else:
-                whole.append(c)
-        words = list({w for _, w, _ in split if w and w not in self.words})
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            self._learn_words(words[at:at + WORDS_AT_ONCE])
-        tails = list({t for _, _, t in split if t and t not in self.words})
-        self.words.update(zip(tails, self._ids(tails), strict=True))
+    def _learn(self, new: set[bytes]) -> None:
+        chunks = list(new)
+        # No chunk has a space, so all are decoded at once.
+        texts = b" ".join(chunks).decode().split(" ") if chunks else []
+        words = [t.rstrip(MARKS) for t in texts]
+        simple = [w.isalpha() or not w for w in words]
+        whole = [t for t, s in zip(texts, simple, strict=True) if not s]
+        self.known.update(zip([c for c, s in zip(chunks, simple, strict=True) if not s], self._ids(whole), strict=True))
+        chunks, texts, words = (list(compress(x, simple)) for x in (chunks, texts, words))
+        tails = [t[len(w):] for t, w in zip(texts, words, strict=True)]
+        unknown = list(set(words).difference(self.words, ("",)))
+        for at in range(0, len(unknown), WORDS_AT_ONCE):
+            self._learn_words(unknown[at:at + WORDS_AT_ONCE])
+        unknown = list(set(tails).difference(self.words, ("",)))
+        self.words.update(zip(unknown, self._ids(unknown), strict=True))
         self.words[""] = b""
-        self.known.update((c, self.words[w] + self.words[t]) for c, w, t in split)
-        self.known.update(zip(whole, self._ids([c.decode() for c in whole]), strict=True))
+        get = self.words.__getitem__
+        self.known.update(zip(chunks, map(add, map(get, words), map(get, tails)), strict=True))
 
     def _learn_words(self, words: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
+        [made] = self._ids([" ".join(words)])
+        ends = np.flatnonzero(self.ends[np.frombuffer(made, "<u4")]) * 4 + 4
         if len(ends) != len(words):        # some word is several to the tokenizer
             self.words.update(zip(words, self._ids(words), strict=True))
             return
-        raw = ids.tobytes()
-        begins = np.concatenate(([0], ends[:-1]))
-        self.words.update((w, raw[4 * a:4 * b]) for w, a, b in
-                          zip(words, begins.tolist(), ends.tolist(), strict=True))
+        places = [0, *ends.tolist()]
+        self.words.update(zip(words, [made[a:b] for a, b in pairwise(places)], strict=True))
 
 
 class OpenWindows:
