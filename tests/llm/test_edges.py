@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tickguard.llm import decontam, jaccard, lexical, lm, negatives, packing, pii, quality, sharding, simhash, substring, toxicity, urlfilter
-from tickguard.llm.queries import word_bpe
+from tickguard.llm.queries import QUERIES, word_bpe
 
 
 @pytest.fixture(scope="session")
@@ -107,3 +107,18 @@ def test_stages_keep_the_columns(spark, odd, none, items, labels, tmp_path):
             assert set(made.columns) == set(docs.columns)
             assert made.count() <= docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).filter("start = 0").count() == docs.count()
+
+
+def test_toxicity_query_gives_python_workers_few_bytes_at_once(spark, sf):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    QUERIES["op2_toxicity"](spark, sf)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 20
+
+
+def test_packing_keeps_stretches_and_their_words_in_one_bounded_cache(spark):
+    made = packing.Encoder(word_bpe(), 40)
+    for i in range(5):
+        texts = [f"one{'abcde'[i]}{c}, two!! {c}x 12{c} ..." for c in "abcdefgh"] + ["", "\u2003 ß% %"]
+        want = [made.tokenizer.encode(t, add_special_tokens=False).ids + [packing.END] for t in texts]
+        assert [list(memoryview(ids).cast("I")) for ids in made(texts)] == want
+        assert b"two" in made.known

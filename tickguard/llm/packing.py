@@ -26,7 +26,7 @@ SIZE = 2048
 CHUNK_CACHE = 1 << 19
 WORDS_AT_ONCE = 1 << 14
 GROUP_CHARS = 1 << 21     # characters of texts that are cut together
-MARKS = ".,;:!?#*$%&|)]}\"-_+=/"
+MARKS = b".,;:!?#*$%&|)]}\"-_+=/"
 RANK_ROWS = 10_000        # pieces of one length that one task numbers
 
 PIECE = "struct<start:bigint,length:bigint,ids_crc32:bigint,ids:binary>"
@@ -81,8 +81,8 @@ class Encoder:
     """texts -> their ids and the end mark, little-endian 32 bits each.
 
     ASCII white space is never part of a token, so texts are cut there and the
-    ids of the stretches are kept, up to ``cached`` of them. New stretches that
-    are letters and then punctuation are words to the tokenizer; their letters are
+    ids of the stretches, and of the words in them, are kept; before new ones would
+    make them more than ``cached``, all go. New stretches that are letters and then punctuation are words to the tokenizer; their letters are
     encoded many at once, and the ids are told apart by the word ends among them.
     The tokenizer encodes all other stretches one by one, and texts that may hold
     its special tokens as a whole.
@@ -100,7 +100,6 @@ class Encoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cached = cached
         self.known: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str, cached: int = CHUNK_CACHE) -> Encoder:
@@ -114,7 +113,6 @@ class Encoder:
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > self.cached:
             self.known.clear()
-            self.words.clear()
             new = set().union(*cut)
         self._learn(new)
         get = self.known.__getitem__
@@ -127,31 +125,31 @@ class Encoder:
 
     def _learn(self, new: set[bytes]) -> None:
         chunks = list(new)
+        words = [c.rstrip(MARKS) for c in chunks]
         # No chunk has a space, so all are decoded at once.
-        texts = b" ".join(chunks).decode().split(" ") if chunks else []
-        words = [t.rstrip(MARKS) for t in texts]
-        simple = [w.isalpha() or not w for w in words]
-        whole = [t for t, s in zip(texts, simple, strict=True) if not s]
-        self.known.update(zip([c for c, s in zip(chunks, simple, strict=True) if not s], self._ids(whole), strict=True))
-        chunks, texts, words = (list(compress(x, simple)) for x in (chunks, texts, words))
-        tails = [t[len(w):] for t, w in zip(texts, words, strict=True)]
-        unknown = list(set(words).difference(self.words, ("",)))
+        simple = [t.isalpha() or not t for t in b" ".join(words).decode().split(" ")] if chunks else []
+        self._learn_whole([c for c, s in zip(chunks, simple, strict=True) if not s])
+        chunks, words = (list(compress(x, simple)) for x in (chunks, words))
+        tails = [c[len(w):] for c, w in zip(chunks, words, strict=True)]
+        self.known[b""] = b""
+        unknown = list(set(words).difference(self.known))
         for at in range(0, len(unknown), WORDS_AT_ONCE):
             self._learn_words(unknown[at:at + WORDS_AT_ONCE])
-        unknown = list(set(tails).difference(self.words, ("",)))
-        self.words.update(zip(unknown, self._ids(unknown), strict=True))
-        self.words[""] = b""
-        get = self.words.__getitem__
+        self._learn_whole(list(set(tails).difference(self.known)))
+        get = self.known.__getitem__
         self.known.update(zip(chunks, map(add, map(get, words), map(get, tails)), strict=True))
 
-    def _learn_words(self, words: list[str]) -> None:
-        [made] = self._ids([" ".join(words)])
+    def _learn_whole(self, chunks: list[bytes]) -> None:
+        self.known.update(zip(chunks, self._ids([c.decode() for c in chunks]), strict=True))
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        [made] = self._ids([b" ".join(words).decode()])
         ends = np.flatnonzero(self.ends[np.frombuffer(made, "<u4")]) * 4 + 4
         if len(ends) != len(words):        # some word is several to the tokenizer
-            self.words.update(zip(words, self._ids(words), strict=True))
+            self._learn_whole(words)
             return
         places = [0, *ends.tolist()]
-        self.words.update(zip(words, [made[a:b] for a, b in pairwise(places)], strict=True))
+        self.known.update(zip(words, [made[a:b] for a, b in pairwise(places)], strict=True))
 
 
 class OpenWindows:
