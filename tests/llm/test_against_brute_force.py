@@ -180,6 +180,35 @@ def test_repeats_of_short_strings(spark, alphabet, seed):
         assert got[i] == want, (i, texts[i])
 
 
+def test_cells_of_windows_leave_few_to_compare_alone(spark, monkeypatch):
+    rnd = random.Random(11)
+
+    def noise(n):
+        return "".join(rnd.choice("abcdefgh") for _ in range(n))
+
+    base, texts = noise(3000), []
+    for i in range(12):                      # copies that differ in a few places, so runs differ and windows meet
+        copy = list(base)
+        for at in range(200 + 7 * i, 3000, 900):
+            copy[at] = "#"
+        texts.append("".join(copy) + noise(5 * i))
+    texts += [noise(300) + base[1000:1400 + i] + noise(300) for i in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, settled = Counter(), substring.settle
+
+    def counted(table, label="table"):
+        made = settled(table, label)
+        rows[label] += made.count()
+        return made
+
+    monkeypatch.setattr(substring, "settle", counted)
+    got = {r.doc_id: tuple(r)[1:5] for r in substring.repeats(df).collect()}
+    for i, want in enumerate(brute_repeats(texts, 400)):
+        assert got[i] == want
+    windows = sum(n for t in texts for _, _, n, *_ in substring.named_suffixes([t.encode()], 400, 64))
+    assert max(rows.values()) < windows / 3, (rows, windows)
+
+
 def test_chunks_lose_no_window(monkeypatch):
     monkeypatch.setattr(substring, "CHUNK", 97)
     rnd = random.Random(5)
