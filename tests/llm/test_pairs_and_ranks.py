@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tickguard.llm import jaccard, lexical, negatives
@@ -129,6 +130,42 @@ def test_crowds_chains_and_short_texts_lose_no_link(spark):
     assert sorted(tuple(r) for r in got.collect()) == grouped(rows)
 
 
+def test_sets_are_made_once_for_all_rounds(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    frames = [" ".join(rng.choice(words) for _ in range(150)) for _ in range(2)]
+    texts = [f"{frames[k % 2]} {' '.join(rng.choice(words) for _ in range(rng.choice((17, 19, 21, 23))))}"
+             for k in range(300)]
+    rows = list(enumerate(texts))
+    read, settle = Counter(), jaccard.settle
+
+    def counted(table, label="table"):
+        read[label] += 1
+        return settle(table, label)
+
+    monkeypatch.setattr(jaccard, "settle", counted)
+    monkeypatch.setattr(jaccard, "CELL", 32)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in jaccard.similar_groups(docs).collect())
+    assert got == grouped(rows)
+    assert read["sets"] == 1 and read["links"] > 1, read
+
+
+def test_the_sketch_counts_repeated_entries_only():
+    def sketch(texts):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+        *_, last = jaccard._prints(pa.int64(), 5, 80, 0)(iter([batch]))
+        counts = last.column("counts")[0].as_py()
+        return 0 if counts is None else sum(counts)
+
+    words = [f"u{k}" for k in range(4000)]
+    alone = [" ".join(words[k:k + 100]) for k in range(0, 4000, 100)]
+    few = sketch(alone)                                  # empty segments
+    assert few < 2 * len(alone) * jaccard.Scheme().segments(jaccard.Scheme().band(96))[0] / 4
+    assert sketch([*alone, alone[0]]) == few             # copies are one class
+    assert sketch([*alone, alone[0] + " more"]) > few
+
+
 def test_any_similar_sets_meet_in_what_is_allotted():
     rng = np.random.default_rng(2)
     scheme = jaccard.Scheme()

@@ -5,8 +5,9 @@ in at most H shingles, H following from their sizes, so if the probing set allot
 segments H + 1 in all, with one for a segment that must agree and two for one that may also
 differ by one shingle, some allotted segment is met. The index holds every segment of a
 set, and of a few segments every subset with one shingle less; a probe looks up the same
-subsets of its own. Probes allot by cost: a mergeable count sketch of all index entries
-tells which segments are frequent, and these are left out as far as the sum allows.
+subsets of its own. Probes allot by cost: a mergeable count sketch of the index entries that
+a task sees repeatedly tells which segments are frequent, and these are left out as far as
+the sum allows.
 
 Equal sets are one class. Classes that meet are first tested against one other class of
 each bucket, chosen by the number of meetings, round by round between groups that are not
@@ -39,6 +40,7 @@ SALTS = 64
 SIEVE = 1 << 28            # most bits of the sieve that tells which sets are needed
 LONG_WORD = 256            # bytes
 CELL = 512                 # classes of either end whose pairs are verified together
+REPEATED = 1 << 20         # index entries of a task among which the sketch looks for repeated ones
 PIECE = 1 << 22            # bytes of a text that are hashed at once
 PROGRESS = 0.1             # share of tests that must link for another round
 
@@ -188,6 +190,13 @@ def _counters(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (keys & mask).view(np.int64), (keys >> np.uint64(40) & mask).view(np.int64) + SKETCH
 
 
+def _count(counts: np.ndarray, keys: list[np.ndarray]) -> None:
+    """Add those keys to the sketch that occur more than once; the others would only fill its counters."""
+    found, times = np.unique(np.concatenate(keys), return_counts=True)
+    for at in _counters(found[times > 1]):
+        counts += np.bincount(at, times[times > 1], len(counts)).astype(np.int64)
+
+
 def allot(one: np.ndarray, two: np.ndarray, need: int, cheap: float) -> np.ndarray:
     """0, 1 or 2 per segment, ``need`` in all at least, at low cost.
 
@@ -211,22 +220,30 @@ def _prints(id_type: pa.DataType, size: int, percent: int, seed: int):
     schema = PRINT.set(0, pa.field("doc_id", id_type))
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sizes and classes of the texts, and at the end the sketch of their index entries."""
-        scheme, counts = Scheme(percent), np.zeros(2 * SKETCH, np.int64)
+        """Sizes and classes of the texts, and at the end the sketch of their repeated index entries."""
+        scheme, counts, seen = Scheme(percent), np.zeros(2 * SKETCH, np.int64), set()
+        keys: list[np.ndarray] = []
+        waiting = 0
         for batch in batches:
             rows = []
             for text in utf8(batch.column("text")):
                 held = shingles(text, size)
                 marks, sums = _sums(held)
                 rows.append((len(held), *(_digest(held, marks, seed) if len(held) else (None, None))))
-                if len(held):
+                if len(held) and rows[-1][1] not in seen:
+                    seen.add(rows[-1][1])
                     whole, _, less, _ = scheme.keys(held, marks, sums, scheme.band(len(held)))
-                    for at in _counters(np.concatenate((whole, less))):
-                        np.add.at(counts, at, 1)
+                    keys += [whole, less]
+                    waiting += len(whole) + len(less)
+                    if waiting >= REPEATED:
+                        _count(counts, keys)
+                        keys, waiting = [], 0
             n, cls, check = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
                  pa.array(check, pa.int64()), pa.nulls(len(rows), pa.list_(pa.int64()))], schema=schema)
+        if keys:
+            _count(counts, keys)
         if counts.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, id_type), pa.array([None], pa.int64()), pa.array([None], pa.int64()),
@@ -421,13 +438,9 @@ def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFra
     """
     met = settle(_promising(settle(_met(entries), "met"), percent), "met")
     told = met.select("key", "cls", _packed("n"), _packed("given"))
+    sets = settle(sets_of(settle(met.select("cls").distinct(), "needed")).dropDuplicates(["cls"]), "sets")
     roots, tested, links = None, None, None
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        sets = settle(sets_of(settle(ends, "needed")).dropDuplicates(["cls"]), "sets")
-        return settle(_verified(pairs, sets, percent), "links")
-
     while True:
         # Of each bucket, one class of the least group; classes of other groups that meet one often test it.
         now = _rooted(told, roots)
@@ -443,7 +456,7 @@ def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFra
         count = pairs.count()
         if not count:
             break
-        found = verified(pairs)
+        found = settle(_verified(pairs, sets, percent), "links")
         new = found.count()
         tested = pairs if tested is None else tested.unionByName(pairs)
         if new:
@@ -468,7 +481,7 @@ def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFra
     if tested is not None:
         pairs = (pairs.join(tested, ["a", "b"], "left_anti")
                  .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
-    found = verified(settle(pairs, "pairs"))
+    found = settle(_verified(settle(pairs, "pairs"), sets, percent), "links")
     links = found if links is None else links.unionByName(found)
     return components(links).withColumnRenamed("node", "cls")
 
