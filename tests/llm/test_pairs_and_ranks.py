@@ -151,6 +151,38 @@ def test_sets_are_made_once_for_all_rounds(spark, monkeypatch):
     assert read["sets"] == 1 and read["links"] > 1, read
 
 
+def test_a_crowd_just_below_the_threshold_is_not_paired(spark, monkeypatch):
+    rng = random.Random(6)
+    frame = [f"f{k}" for k in range(150)]
+    rows = [(k, " ".join(frame + [f"d{k}w{i}" for i in range(22)])) for k in range(200)]
+    rows += [(200 + k, f"{text} {rng.choice(frame)}") for k, text in rows[:20]]      # these are linked
+    paired, settle = [], jaccard.settle
+
+    def counted(table, label="table"):
+        made = settle(table, label)
+        if label == "pairs":
+            paired.append(made.count())
+        return made
+
+    monkeypatch.setattr(jaccard, "settle", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in jaccard.similar_groups(docs).collect()) == grouped(rows)
+    assert sum(paired) < 3 * len(rows), paired
+
+
+def test_parity_words_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 60, 900, 9000):
+        x = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for share in (0.0, 0.1, 0.5):
+            own = int(size * share)
+            y = np.concatenate((x[own:], rng.integers(0, 1 << 63, own, dtype=np.uint64)))
+            apart = (jaccard._parity(x) ^ jaccard._parity(y)).view(np.uint64)
+            bits = sum(int(part).bit_count() for part in apart)
+            assert len(apart) == jaccard.PARITY and bits <= len(np.setxor1d(x, y))
+            assert bits > 0 or not own
+
+
 def test_the_sketch_counts_repeated_entries_only():
     def sketch(texts):
         batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])

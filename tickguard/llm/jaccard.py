@@ -9,10 +9,16 @@ subsets of its own. Probes allot by cost: a mergeable count sketch of the index
 a task sees repeatedly tells which segments are frequent, and these are left out as far as
 the sum allows.
 
-Equal sets are one class. Classes that meet are first tested against one other class of
-each bucket, chosen by the number of meetings, round by round between groups that are not
-linked yet; that joins crowds of near copies without pairing them all. Then all pairs that
-still meet across groups, and meet often enough for their sizes, are verified.
+Equal sets are one class. Of every set there is a parity word: its shingles are dealt over
+1,024 bits, each of which is flipped by every shingle it gets. Two parity words differ in at most as
+many bits as their sets differ in shingles, so bits beyond what similar sets may differ in rule a pair
+out for certain. Entries without a partner that passes this are left out first; that thins crowds
+whose members resemble each other, but not enough.
+
+Classes that meet are then tested against one other class of each bucket, chosen by the
+number of meetings, round by round between groups that are not linked yet; that joins crowds
+of near copies without pairing them all. Then all pairs that still meet across groups, are
+not ruled out, and meet often enough for their sizes, are verified.
 """
 
 from __future__ import annotations
@@ -43,6 +49,8 @@ CELL = 512                 # classes of either end whose pairs are verified toge
 REPEATED = 1 << 20         # index entries of a task among which the sketch looks for repeated ones
 PIECE = 1 << 22            # bytes of a text that are hashed at once
 PROGRESS = 0.1             # share of tests that must link for another round
+FEW = 256                  # tests up to which that are linked are no reason for another round
+PARITY = 16                # 64-bit parts of a parity word
 
 #: Roles of an entry: whole or shrunk segment in the index, probes that count one or two, a
 #: probe with a shrunk segment; entries of frequent buckets are marked.
@@ -184,6 +192,12 @@ def _digest(held: np.ndarray, marks: np.ndarray, seed: int) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
+def _parity(held: np.ndarray) -> np.ndarray:
+    """The parity word of a set: sets that differ in d shingles have words that differ in d bits at most."""
+    bits = np.bincount((held & np.uint64(64 * PARITY - 1)).view(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _counters(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The counters of keys in the two rows of the sketch."""
     mask = np.uint64(SKETCH - 1)
@@ -211,7 +225,7 @@ def allot(one: np.ndarray, two: np.ndarray, need: int, cheap: float) -> np.ndarr
 
 
 PRINT = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("check", pa.int64()),
-                   ("counts", pa.list_(pa.int64()))])
+                   ("counts", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
 ENTRY = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("info", pa.int64())])
 HELD = pa.schema([("cls", pa.int64()), ("held", pa.binary())])
 
@@ -225,10 +239,11 @@ def _prints(id_type: pa.DataType, size: int, percent: int, seed: int):
         keys: list[np.ndarray] = []
         waiting = 0
         for batch in batches:
-            rows = []
+            rows, words = [], []
             for text in utf8(batch.column("text")):
                 held = shingles(text, size)
                 marks, sums = _sums(held)
+                words.append(_parity(held) if len(held) else None)
                 rows.append((len(held), *(_digest(held, marks, seed) if len(held) else (None, None))))
                 if len(held) and rows[-1][1] not in seen:
                     seen.add(rows[-1][1])
@@ -241,13 +256,15 @@ def _prints(id_type: pa.DataType, size: int, percent: int, seed: int):
             n, cls, check = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
-                 pa.array(check, pa.int64()), pa.nulls(len(rows), pa.list_(pa.int64()))], schema=schema)
+                 pa.array(check, pa.int64()), pa.nulls(len(rows), pa.list_(pa.int64())),
+                 pa.array(words, pa.list_(pa.int64()))], schema=schema)
         if keys:
             _count(counts, keys)
         if counts.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, id_type), pa.array([None], pa.int64()), pa.array([None], pa.int64()),
-                 pa.array([None], pa.int64()), pa.array([counts], pa.list_(pa.int64()))], schema=schema)
+                 pa.array([None], pa.int64()), pa.array([counts], pa.list_(pa.int64())),
+                 pa.nulls(1, pa.list_(pa.int64()))], schema=schema)
 
     return prints
 
@@ -431,13 +448,46 @@ def _promising(met: DataFrame, percent: int) -> DataFrame:
     return told.filter("enough").unionByName(seldom).select("key", "cls", "info")
 
 
-def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFrame:
+def _alike(met: DataFrame) -> DataFrame:
+    """The entries of one of all buckets that have the same entries, and the number of these buckets as ``times``."""
+    marks = [F.bit_xor(F.xxhash64("cls", "info", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    kept = (met.groupBy("key").agg(*marks).groupBy("mark0", "mark1")
+            .agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times")))
+    return met.join(kept.select("key", "times"), "key")
+
+
+def _worded(rows: DataFrame, words: DataFrame, cls: str = "cls", end: str = "") -> DataFrame:
+    """``rows`` with the parity word of the class in ``cls``."""
+    return rows.join(words.toDF(cls, *[f"p{i}{end}" for i in range(PARITY)]), cls)
+
+
+def _possible(sizes: Column, percent: int) -> Column:
+    """Whether the parity words p and p_x leave it open that sets of these sizes together are similar."""
+    bits = [F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"p{i}_x"))) for i in range(PARITY)]
+    return sum(bits[1:], bits[0]) <= _apart(sizes, percent)
+
+
+def _partnered(met: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """The entries that share their bucket with one of another class that may be similar to theirs."""
+    wide = _worded(met.select("*", _packed("n")), words)
+    other = wide.select("key", *[F.col(c).alias(f"{c}_x") for c in ("cls", "n", *words.columns[1:])])
+    sized = 100 * F.least("n", "n_x") >= percent * F.greatest("n", "n_x")
+    same = wide["key"] == other["key"]
+    return (wide.join(other, same & (F.col("cls") != F.col("cls_x")) & sized
+                      & _possible(F.col("n") + F.col("n_x"), percent), "left_semi").select(*met.columns))
+
+
+def link_classes(entries: DataFrame, sets_of, words_of, percent: int = PERCENT) -> DataFrame:
     """(cls, root) of classes that are linked to others, from their ``entries`` (key, cls, info).
 
-    ``sets_of`` gives the sets (cls, held) of a table of classes.
+    ``sets_of`` gives the sets (cls, held) of a table of classes, ``words_of`` their
+    parity words (cls, p0, p1 ..).
     """
     met = settle(_promising(settle(_met(entries), "met"), percent), "met")
-    told = met.select("key", "cls", _packed("n"), _packed("given"))
+    met = settle(_alike(met), "alike")
+    words = settle(words_of(met.select("cls").distinct()), "words")
+    met = settle(_partnered(met, words, percent), "partnered")
+    told = met.select("key", "cls", "times", _packed("n"), _packed("given"))
     sets = settle(sets_of(settle(met.select("cls").distinct(), "needed")).dropDuplicates(["cls"]), "sets")
     roots, tested, links = None, None, None
 
@@ -446,12 +496,15 @@ def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFra
         now = _rooted(told, roots)
         turn = F.struct("root", F.xxhash64("cls", F.lit(0 if tested is None else len(tested.inputFiles()))))
         ends = (now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                       F.min_by("cls", turn).alias("a")).filter("low <> high"))
-        often = (now.join(ends, "key").filter("root <> low").groupBy(F.col("cls").alias("b"), "a")
-                 .agg(F.count_distinct("key").alias("times"), F.max("given").alias("given"), F.first("n").alias("n"))
+                                       F.min_by(F.struct("cls", "n"), turn).alias("a")).filter("low <> high"))
+        often = (now.join(ends, "key").filter("root <> low").groupBy(F.col("cls").alias("b"), F.col("a.cls").alias("a"))
+                 .agg(F.sum("times").alias("times"), F.max("given").alias("given"), F.first("n").alias("n"),
+                      F.first("a.n").alias("n_a"))
                  .filter(2 * F.col("times") >= F.col("given") - _apart(2 * F.col("n"), percent)))
         if tested is not None:
             often = often.join(tested, ["a", "b"], "left_anti")
+        often = _worded(_worded(often, words, "b"), words, "a", "_x").filter(
+            _possible(F.col("n") + F.col("n_a"), percent))
         pairs = settle(often.groupBy("b").agg(F.max_by("a", "times").alias("a")).select("a", "b"), "pairs")
         count = pairs.count()
         if not count:
@@ -462,21 +515,23 @@ def link_classes(entries: DataFrame, sets_of, percent: int = PERCENT) -> DataFra
         if new:
             links = found if links is None else links.unionByName(found)
             roots = settle(components(links).withColumnsRenamed({"node": "cls"}), "roots")
-        if new <= PROGRESS * count:
+        if new <= max(FEW, PROGRESS * count):
             break
 
     now = _rooted(met.select("*", _packed("n")), roots)
     mixed = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    now = settle(now.join(mixed.select("key"), "key"), "mixed")
-    x = now.filter(_role(WHOLE, SHRINK)).select("key", *[F.col(c).alias(f"{c}_x") for c in ("cls", "root", "info", "n")])
+    now = _worded(settle(now.join(mixed.select("key"), "key"), "mixed"), words)
+    x = now.filter(_role(WHOLE, SHRINK)).select(
+        "key", *[F.col(c).alias(f"{c}_x") for c in ("cls", "root", "info", "n", *words.columns[1:])])
     y = now.filter(_role(ONE, TWO, SHORT))
     whole, shrunk = (F.expr(f"info_x & {bit} <> 0") for bit in (WHOLE, SHRINK))
     hits = (whole & _role(ONE, TWO, SHORT)) | (shrunk & _role(TWO))
     larger = (F.col("n_x") < F.col("n")) | ((F.col("n_x") == F.col("n")) & (F.col("cls_x") < F.col("cls")))
     near = (100 * F.col("n_x") >= percent * F.col("n")) & (F.col("root") != F.col("root_x")) & hits & larger
-    meetings = (x.join(y, "key").filter(near).groupBy(F.col("cls_x").alias("a"), F.col("cls").alias("b")).agg(
-        F.sum(F.when(_role(ONE), 1).otherwise(2)).alias("got"), F.first("n_x").alias("n_x"), F.first("n").alias("n"),
-        F.max(_packed("given")).alias("given")))
+    met_x = (x["key"] == y["key"]) & near & _possible(F.col("n") + F.col("n_x"), percent)
+    meetings = (x.join(y, met_x).groupBy(F.col("cls_x").alias("a"), F.col("cls").alias("b")).agg(
+        F.sum(F.col("times") * F.when(_role(ONE), 1).otherwise(2)).alias("got"), F.first("n_x").alias("n_x"),
+        F.first("n").alias("n"), F.max(_packed("given")).alias("given")))
     pairs = meetings.filter(F.col("got") >= F.col("given") - _apart(F.col("n") + F.col("n_x"), percent)).select("a", "b")
     if tested is not None:
         pairs = (pairs.join(tested, ["a", "b"], "left_anti")
@@ -500,11 +555,11 @@ def similar_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType
-    schema = f"doc_id {id_type.simpleString()}, n long, cls long, check long, counts array<bigint>"
+    schema = f"doc_id {id_type.simpleString()}, n long, cls long, check long, counts array<bigint>, parity array<bigint>"
     seed = 0
     while True:
         told = settle(docs.mapInArrow(_prints(to_arrow_type(id_type), size, percent, seed), schema), "prints")
-        prints = told.filter("n is not null").drop("counts")
+        prints = told.filter("n is not null").drop("counts", "parity")
         classes = settle(prints.filter("n > 0").groupBy("cls").agg(
             F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"),
             (F.min("check") != F.max("check")).alias("clash")), "classes")
@@ -523,7 +578,11 @@ def similar_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
         sieve = spark.sparkContext.broadcast(_sieve(needed))
         return docs.select("text").mapInArrow(_needed(sieve, size, seed), "cls long, held binary")
 
-    linked = settle(link_classes(entries, sets_of, percent), "linked")
+    def words_of(needed: DataFrame) -> DataFrame:
+        parts = [F.first(F.col("parity")[i]).alias(f"p{i}") for i in range(PARITY)]
+        return told.filter("n > 0").join(needed, "cls", "left_semi").groupBy("cls").agg(*parts)
+
+    linked = settle(link_classes(entries, sets_of, words_of, percent), "linked")
     named = classes.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = settle(named, "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
